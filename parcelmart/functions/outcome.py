@@ -40,15 +40,15 @@ def outcome_flag(rule: Column) -> Column:
 
 
 def outcome_reason(rule: Column, failed: Column, delay: Column, status: Column) -> Column:
-    first_text = F.coalesce(
-        F.nullif(failed, F.lit("")),
-        F.nullif(delay, F.lit("")),
-        F.nullif(status, F.lit("")),
-        F.lit(NO_REASON),
-    )
-    return (
-        F.when(rule == R_CANCELLED, F.lit(CANCELLED))
-        .when(rule.isin(R_RETURNED, R_LOST), first_text)
-        .when(rule.isin(R_FAILED, R_FAILED_OPEN), failed)
-        .otherwise(F.lit(NO_REASON))
-    )
+    texts = [F.when(c != "", c) for c in (failed, delay, status)]
+    first_text = F.coalesce(*texts, F.lit(NO_REASON))
+    by_rule = {
+        R_CANCELLED: F.lit(CANCELLED),
+        R_DELIVERED: F.lit(NO_REASON),
+        R_RETURNED: first_text,
+        R_LOST: first_text,
+        R_FAILED: failed,
+        R_FAILED_OPEN: failed,
+        R_NONE: F.lit(NO_REASON),
+    }
+    return F.elt(rule, *[by_rule[r] for r in sorted(by_rule)])

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,10 +31,8 @@ def clean_text(c: Column, fallback: str = NO_VALUE, strict: bool = False) -> Col
     """Stripped text; ``fallback`` for null and blank, and with ``strict`` also
     for the words that stand for a missing value."""
     text = strip(c.cast("string"))
-    missing = text.isNull() | (text == "")
-    if strict:
-        missing = missing | F.lower(text).isin(NULL_WORDS)
-    return F.when(missing, F.lit(fallback)).otherwise(text)
+    present = ~text.rlike(f"(?i)^({'|'.join(NULL_WORDS)}|)$") if strict else text != ""
+    return F.coalesce(F.when(present, text), F.lit(fallback))
 
 
 def is_set(c: Column) -> Column:
@@ -56,7 +51,9 @@ def shortest_keywords(words: list[str]) -> list[str]:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    return reduce(or_, [F.contains(text, F.lit(w)) for w in shortest_keywords(words)])
+    """One pattern, so that the text expression appears once: a filter on the result
+    may be pushed through the projections that compute the text, and copies it."""
+    return text.rlike("|".join(rf"\Q{w}\E" for w in shortest_keywords(words)))
 
 
 def keyword_match(c: Column, include: list[str], exclude: list[str]) -> Column:
@@ -95,8 +92,7 @@ _SECOND_PART = r"(?U)^[\s\x1c-\x1f/]*+[^/]+/[\s\x1c-\x1f/]*+([^/]+)"
 def region_part(cleaned: Column, part: int) -> Column:
     """Part 1 (province) or 2 (city) of a cleaned ``a / b / c`` region text."""
     pattern = {1: _FIRST_PART, 2: _SECOND_PART}[part]
-    text = strip(F.regexp_extract(cleaned, pattern, 1))
-    return F.when((cleaned == NO_VALUE) | (text == ""), F.lit(NO_VALUE)).otherwise(text)
+    return clean_text(F.regexp_extract(cleaned, pattern, 1))
 
 
 def split_region(c: Column) -> tuple[Column, Column]:
@@ -109,7 +105,7 @@ def cod_payment_role(c: Column) -> tuple[Column, Column]:
     """(payment text, COD type) of a payment-role text."""
     text = clean_text(c, strict=True)
     low = F.lower(text)
-    is_cod = F.contains(low, F.lit("cod")) & ~F.contains(low, F.lit("non"))
+    is_cod = contains_any(low, ["cod"]) & ~contains_any(low, ["non"])
     return text, F.when(is_cod, F.lit(COD)).otherwise(F.lit(NON_COD))
 
 

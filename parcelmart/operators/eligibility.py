@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmart.functions.dates import quarter_of, week_keys, whole_week_ranges
-from parcelmart.functions.text import cancel_keyword, final_status
+from parcelmart.functions.text import cancel_keyword, clean_text, final_status
 from parcelmart.operators.normalize import backfill_columns
 
 
@@ -34,6 +34,21 @@ def eligible_orders(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("eligible_shipment_flag") == 1)
 
 
+def eligible_exports(exports: DataFrame) -> DataFrame:
+    """The same choice on raw export rows, before anything is parsed.
+
+    The reason that the normaliser gives an export row is one of its own texts or comes
+    with a cancel word in them, so status, failed and delay reason decide alone. The
+    filter reads three raw columns and reaches the scan."""
+
+    def text(name: str) -> Column:
+        return clean_text(F.col(name), "", strict=True)
+
+    status = text("delivery_status")
+    cancelled = cancel_keyword(status, text("failed_reason"), text("delay_reason"))
+    return exports.filter((final_status(status) == 1) & (cancelled == 0))
+
+
 def add_week_keys(orders: DataFrame, iso_year: bool = False) -> DataFrame:
     return orders.withColumns(week_keys(F.col("event_date"), iso_year))
 

@@ -138,7 +138,9 @@ def api2_normalize(orders: DataFrame, order: str = "order") -> DataFrame:
 def export_normalize(exports: DataFrame, expedition: str | None = None) -> DataFrame:
     """Normalised rows of an all-text export frame. ``expedition`` names a column to
     take the carrier from; exports of one carrier have none."""
-    carrier = F.lit(EXPORT_EXPEDITION) if expedition is None else F.col(expedition)
+    carrier = F.lit(EXPORT_EXPEDITION)
+    if expedition is not None:
+        carrier = clean_text(F.col(expedition), EXPORT_EXPEDITION)
 
     def text(name: str, fallback: str = "") -> Column:
         return clean_text(F.col(name), fallback, strict=True)
@@ -196,6 +198,12 @@ def export_normalize(exports: DataFrame, expedition: str | None = None) -> DataF
     )
 
 
+def bucket_services(orders: DataFrame) -> DataFrame:
+    """What the safety pass changes in rows that come straight from ``export_normalize``:
+    these are typed and their texts are filled, only the services are raw."""
+    return orders.withColumn("service_type", service_bucket(F.col("service_type")))
+
+
 def order_safety_pass(orders: DataFrame) -> DataFrame:
     """Export orders, fresh or read back from an envelope as texts, brought to the
     declared types: numbers parsed, services bucketed, missing texts filled."""

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from parcelmart.functions.numbers import decimal_comma
 from parcelmart.operators import marts
-from parcelmart.operators.eligibility import add_week_keys, eligibility_flags, eligible_orders
-from parcelmart.operators.normalize import export_normalize, order_safety_pass
+from parcelmart.operators.eligibility import add_week_keys, eligible_exports
+from parcelmart.operators.normalize import bucket_services, export_normalize
 from parcelmart.operators.quality import mart_quality as check_marts
-from parcelmart.operators.tables import read_mart, upsert_mart
+from parcelmart.operators.tables import read_mart_or_empty, upsert_mart
 from parcelmart.plans.build import Layout, build_marts, marts_from, read_marts, run_quarter
 from parcelmart.plans.oracle_sql import (
     GROUP,
@@ -32,11 +32,13 @@ DRIVERS = ["service_type", "payment_method", "return_reason"]
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised export orders with suppliers as carriers."""
-    return order_safety_pass(export_normalize(carrier_shipments(spark, sf_dir), "carrier"))
+    return bucket_services(export_normalize(carrier_shipments(spark, sf_dir), "carrier"))
 
 
 def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_week_keys(eligible_orders(eligibility_flags(orders(spark, sf_dir))))
+    """Eligible orders straight from the exports, dropped before they are parsed."""
+    exports = eligible_exports(carrier_shipments(spark, sf_dir))
+    return add_week_keys(bucket_services(export_normalize(exports, "carrier")))
 
 
 def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,16 +138,16 @@ def mart_upsert(spark, sf_dir):
     for batch in [batches[0], batches[1], batches[1]]:
         mart = marts.fact_returns_weekly(marts.order_measures(batch))
         upsert_mart(mart, path, FACT_WEEKLY, WEEKLY_KEYS)
-    return read_mart(spark, path, FACT_WEEKLY)
+    return read_mart_or_empty(spark, path, FACT_WEEKLY)
 
 
 QUARTERS = [dt.date(1997, 2, 10), dt.date(1997, 5, 10)]
 
 
-@query(eligible_cte("event_date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30' OR (event_date BETWEEN DATE '1997-12-29' AND DATE '1997-12-31')") + weekly_sql())
+@query(eligible_cte("event_date BETWEEN DATE '1997-01-01' AND DATE '1997-07-06' OR (event_date BETWEEN DATE '1997-12-29' AND DATE '1997-12-31')") + weekly_sql())
 def quarter_runs(spark, sf_dir):
-    """Two weekly runs, one quarter each. The week that the quarters share is whole
-    after both, and so is week 1, which also holds the last days of December."""
+    """Two weekly runs, one quarter each. The weeks at the edges are loaded
+    whole, and so is week 1, which also holds the last days of December."""
     layout = Layout(scratch_path(spark, "quarters"))
     rows = orders(spark, sf_dir)
     for today in QUARTERS:

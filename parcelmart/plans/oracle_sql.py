@@ -86,7 +86,7 @@ def eligible_cte(where: str = "true", carrier: str = "s_name") -> str:
     return f"""{NORM_CTE}, eligible AS (
   SELECT * REPLACE ({carrier} AS expedition), CAST(year(event_date) AS INTEGER) AS year,
     CAST(week(event_date) AS INTEGER) AS week_of_year
-  FROM norm WHERE eligible = 1 AND {where}
+  FROM norm WHERE eligible = 1 AND ({where})
 )"""
 
 

@@ -60,13 +60,14 @@ def with_headers(df: DataFrame, place: int) -> DataFrame:
 # ---------------------------------------------------------------- JSON payloads
 
 
-@query(f"{SHIP_CTE} SELECT tracking_no, customer_reference_no FROM ship")
+@query(
+    f"{SHIP_CTE} SELECT CASE WHEN l_linenumber <> 2 THEN tracking_no END AS tracking_no, customer_reference_no FROM ship"
+)
 def payload_explode(spark, sf_dir):
     orders = payloads.payload_explode(api2_pages(spark, sf_dir), payloads.API2_ORDER)
     info = F.col("order.order_info")
-    number = F.coalesce(info["order_sn"], F.lit(None))
     return orders.select(
-        number.alias("tracking_no"), info["order_id"].alias("customer_reference_no")
+        info["order_sn"].alias("tracking_no"), info["order_id"].alias("customer_reference_no")
     )
 
 
@@ -152,8 +153,11 @@ def envelope_decode(spark, sf_dir):
 # ---------------------------------------------------------------- export files
 
 
+CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.options(header=True, quote='"', escape='"', emptyValue="").csv(path)
+    df.write.options(**CSV_WRITE).csv(path)
     return path
 
 
@@ -227,8 +231,9 @@ def write_titled_csv(df: DataFrame, path: str) -> str:
     header = df.sparkSession.range(files).select(
         F.lit(0).alias("line"), F.col("id").alias("part"), *[F.lit(c).alias(t) for c, t in zip(df.columns, titles)]
     )
-    rows = data.unionByName(header).repartition(files, "part")
-    return write_csv(rows.sortWithinPartitions("part", "line").drop("line", "part"), path)
+    rows = data.unionByName(header).repartition(files, "part").sortWithinPartitions("part", "line")
+    rows.drop("line").write.partitionBy("part").options(**CSV_WRITE).csv(path)
+    return f"{path}/part=*"
 
 
 @query(
@@ -241,10 +246,12 @@ def export_header_repair(spark, sf_dir):
     folder = scratch_path(spark, "landed")
     titled = english_export(spark, sf_dir)
     key = F.col(f"`{english('tracking_no')}`")
-    write_titled_csv(titled.filter(~F.endswith(key, F.lit("7"))), f"{folder}/english")
+    english_files = write_titled_csv(
+        titled.filter(~F.endswith(key, F.lit("7"))), f"{folder}/english"
+    )
     plain_rows = shipments(spark, sf_dir).filter(F.endswith("tracking_no", F.lit("7")))
-    write_csv(with_headers(plain_rows, 0), f"{folder}/local")
-    rows = exports.read_exports(spark, [f"{folder}/english", f"{folder}/local"])
+    local_files = write_csv(with_headers(plain_rows, 0), f"{folder}/local")
+    rows = exports.read_exports(spark, [english_files, local_files])
     return rows.select(
         "tracking_no", "created_at", "recipient_region", "recipient_address", "parcel_value",
         "delivery_status",
@@ -368,13 +375,25 @@ def export_normalize(spark, sf_dir):
 
 @query(f"{NORM_CTE} SELECT {EXPORT_COLUMNS} FROM norm")
 def order_safety_pass(spark, sf_dir):
-    """The raw layer's way: records as JSON in an envelope, read back and passed."""
+    """The raw layer's way: records as JSON in an envelope, landed, read back, passed."""
+    path = scratch_path(spark, "envelopes")
     orders = normalized(spark, sf_dir)
     record = F.to_json(F.struct(*orders.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})
     envelope = F.concat(
         F.lit(f'{{"source_mode":"{SOURCE_EXPORT}","data":['), record, F.lit("]}")
     )
-    return plain(build.orders_from_envelopes(orders.select(envelope.alias("payload"))))
+    run_ts = F.lit("2026-01-05 01:00:00").cast("timestamp")
+    payloads.land_raw(
+        orders.select(
+            run_ts.alias("run_ts"),
+            F.lit(SOURCE_EXPORT).alias("source"),
+            F.col("customer_reference_no").cast("long").alias("page"),
+            envelope.alias("payload"),
+        ),
+        path,
+    )
+    newest = payloads.latest_payload(payloads.read_raw(spark, path), SOURCE_EXPORT)
+    return plain(build.orders_from_envelopes(newest))
 
 
 UNION_COLUMNS = (
