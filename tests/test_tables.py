@@ -1,0 +1,176 @@
+"""Staging and mart tables, whole runs and incremental runs."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelmart.operators import tables
+from parcelmart.operators.eligibility import eligibility_flags
+from parcelmart.operators.normalize import export_normalize
+from parcelmart.plans import mart_queries
+from parcelmart.plans.build import Layout, build_marts, check_marts, read_marts, run_quarter
+from parcelmart.plans.shipments import carrier_shipments
+from parcelmart.schemas import FACT_REASON, MARTS, REASON_KEYS
+from parcelmart.streaming import incremental
+
+SF = "/root/testdata/sf0.001"
+
+
+def facts(spark, *rows):
+    """(year, week, city, shipments) as reason facts."""
+    full = [(y, w, "P", c, "SPX", "Eco", "r", n, 0, 0.0) for y, w, c, n in rows]
+    return spark.createDataFrame(full, FACT_REASON)
+
+
+def upsert(batch, path, **options):
+    tables.upsert_mart(batch, path, FACT_REASON, REASON_KEYS, **options)
+
+
+def current(spark, path):
+    rows = tables.read_mart_or_empty(spark, path, FACT_REASON).collect()
+    return sorted(((r.year, r.week_of_year, r.city, r.total_shipments) for r in rows), key=str)
+
+
+def test_upsert_replaces_by_key_and_keeps_the_rest(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert current(spark, path) == []
+    upsert(facts(spark, (2026, 1, "A", 1), (2026, 1, "B", 1), (2026, 2, "A", 1), (None, None, "A", 1)), path)
+    second = facts(spark, (2026, 1, "A", 5), (None, None, "A", 7), (2026, 3, "A", 9))
+    expected = sorted(
+        [(2026, 1, "A", 5), (2026, 1, "B", 1), (2026, 2, "A", 1), (None, None, "A", 7), (2026, 3, "A", 9)], key=str
+    )
+    upsert(second, path)
+    assert current(spark, path) == expected
+    upsert(second, path)
+    assert current(spark, path) == expected
+    # Only the touched weeks were written again.
+    written = {p.name for p in (tmp_path / "m/data/version=2/year=2026").iterdir() if p.is_dir()}
+    assert written == {"week_of_year=1", "week_of_year=3"}
+
+
+def test_replace_weeks_drops_stale_keys(spark, tmp_path):
+    path = str(tmp_path / "m")
+    upsert(facts(spark, (2026, 1, "A", 1), (2026, 1, "B", 1), (2026, 2, "A", 1), (2026, 3, "A", 1)), path)
+    upsert(facts(spark, (2026, 1, "A", 2)), path, replace_weeks=True, weeks=[(2026, 1), (2026, 2)])
+    assert current(spark, path) == [(2026, 1, "A", 2), (2026, 3, "A", 1)]
+
+
+def test_a_run_that_died_before_its_commit_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "m")
+    upsert(facts(spark, (2026, 1, "A", 1)), path)
+    half = facts(spark, (2026, 1, "A", 99))
+    half.write.partitionBy("year", "week_of_year").parquet(f"{path}/data/version=2")
+    assert current(spark, path) == [(2026, 1, "A", 1)]
+    upsert(facts(spark, (2026, 1, "A", 2)), path)
+    assert current(spark, path) == [(2026, 1, "A", 2)]
+
+
+def test_a_replayed_version_overwrites_itself(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for _ in range(2):
+        upsert(facts(spark, (2026, 1, "A", 1)), path, version=1)
+        upsert(facts(spark, (2026, 1, "B", 1)), path, version=2)
+    assert current(spark, path) == [(2026, 1, "A", 1), (2026, 1, "B", 1)]
+
+
+def test_drift_is_refused_unless_rebuilt(spark, tmp_path):
+    path = str(tmp_path / "m")
+    upsert(facts(spark, (2026, 1, "A", 1), (2026, 2, "A", 1)), path)
+    other = facts(spark, (2026, 1, "A", 3)).withColumn("extra", F.lit(1))
+    with pytest.raises(tables.SchemaDrift):
+        upsert(other, path)
+    with pytest.raises(ValueError):
+        tables.upsert_mart(other, path, FACT_REASON, [])
+    upsert(facts(spark, (2026, 1, "A", 3)), path, rebuild=True)
+    assert current(spark, path) == [(2026, 1, "A", 3)]
+
+
+def test_large_weeks_are_rebalanced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_ROWS_PER_TASK", 2)
+    path = str(tmp_path / "m")
+    upsert(facts(spark, *[(None, None, f"c{i}", i) for i in range(50)], (2026, 1, "A", 1)), path)
+    assert len(current(spark, path)) == 51
+
+
+def test_staging_turns_empty_texts_into_null(spark, tmp_path):
+    exports = carrier_shipments(spark, SF).limit(50)
+    flagged = eligibility_flags(export_normalize(exports))
+    for path in (str(tmp_path / "s"),) * 2:
+        tables.write_staging(flagged, path)
+    rows = tables.read_staging(spark, path)
+    assert rows.count() == 50 and rows.filter("failed_reason = ''").count() == 0
+    empty = str(tmp_path / "empty")
+    tables.write_staging(flagged.limit(0), empty)
+    assert tables.read_staging(spark, empty).count() == 0
+
+
+def test_namespaces(spark, tmp_path):
+    for _ in range(2):
+        tables.create_namespaces(spark, str(tmp_path))
+    assert set(tables.NAMESPACES) <= {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+
+
+def test_build_passes_its_checks(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    orders = mart_queries.orders(spark, SF)
+    build_marts(spark, layout, orders)
+    assert all(r.violations == 0 for r in check_marts(spark, layout).collect())
+
+
+def test_quarter_edges(spark, tmp_path):
+    """Parity: a week cut by the quarter keeps the later run's days only. Whole weeks: it is complete."""
+    from test_marts import order
+    from parcelmart.schemas import EXPORT_ORDER
+
+    days = [dt.date(2026, 3, 31), dt.date(2026, 4, 1), dt.date(2026, 4, 20)]
+    rows = [order(i, day=d)[:20] for i, d in enumerate(days)]
+    orders = spark.createDataFrame(rows, EXPORT_ORDER)
+    shipments = {}
+    for whole in (False, True):
+        layout = Layout(str(tmp_path / f"w{whole}"))
+        for today in (dt.date(2026, 3, 31), dt.date(2026, 4, 20)):
+            run_quarter(spark, layout, orders, today, whole_weeks=whole)
+        weekly = read_marts(spark, layout)["fact_returns_weekly"].collect()
+        shipments[whole] = {r.week_of_year: r.total_shipments for r in weekly}
+    assert shipments == {False: {14: 1, 17: 1}, True: {14: 2, 17: 1}}
+    # An order that gets cancelled leaves its week empty.
+    layout = Layout(str(tmp_path / "wTrue"))
+    cancelled = orders.withColumn("delivery_status", F.lit("Cancelled"))
+    run_quarter(spark, layout, cancelled, dt.date(2026, 4, 20), replace_weeks=True)
+    assert all(mart.count() == 0 for mart in read_marts(spark, layout).values())
+
+
+def test_incremental_runs_equal_one_batch(spark, tmp_path):
+    exports = carrier_shipments(spark, SF).filter("created_at like '%1997%' or created_at = ''")
+    landing = str(tmp_path / "landing")
+    thirds = exports.randomSplit([1.0, 1.0, 1.0], seed=3)
+    layout = Layout(str(tmp_path / "w"))
+
+    def run(files_per_batch=1000):
+        stream = incremental.landed_parquet(spark, landing, ["carrier"], files_per_batch)
+        incremental.run_available(spark, stream, layout, "carrier")
+
+    def marts(lay):
+        return {n: sorted(map(str, m.collect())) for n, m in read_marts(spark, lay).items()}
+
+    thirds[0].coalesce(1).write.parquet(landing)
+    run()
+    thirds[1].coalesce(1).write.mode("append").parquet(landing)
+    thirds[2].coalesce(1).write.mode("append").parquet(landing)
+    run(files_per_batch=1)
+    once = marts(layout)
+    run()
+    assert marts(layout) == once
+
+    # A replay of the last batch changes nothing.
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "w/staging/orders").iterdir())
+    assert last == 2
+    files = sorted((tmp_path / "landing").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    incremental.apply_batch(layout, spark.read.parquet(str(files[-1])), last, "carrier")
+    assert marts(layout) == once
+
+    whole = Layout(str(tmp_path / "one"))
+    incremental.apply_batch(whole, spark.read.parquet(landing), 0, "carrier")
+    assert marts(whole) == once
+    assert set(once) == set(MARTS) and all(once.values())
