@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelmart.functions.dates import quarter_of, week_keys, whole_week_ranges
 from parcelmart.functions.text import cancel_keyword, clean_text, final_status
 from parcelmart.operators.normalize import backfill_columns
+from parcelmart.schemas import STATUS_FINAL
 
 
 def eligibility_flags(orders: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def eligible_exports(exports: DataFrame) -> DataFrame:
 
     status = text("delivery_status")
     cancelled = cancel_keyword(status, text("failed_reason"), text("delay_reason"))
-    return exports.filter((final_status(status) == 1) & (cancelled == 0))
+    return exports.filter(F.lower(status).isin(STATUS_FINAL) & (cancelled == 0))
 
 
 def add_week_keys(orders: DataFrame, iso_year: bool = False) -> DataFrame:

@@ -45,6 +45,14 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.order_measures(eligible(spark, sf_dir))
 
 
+def written_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly base as a table: the driver mart reads it twice, the orders once."""
+    path = scratch_path(spark, "base")
+    base = marts.weekly_base(eligible(spark, sf_dir))
+    base.write.parquet(path)
+    return spark.read.schema(base.schema).parquet(path)
+
+
 @query(eligible_cte() + weekly_sql())
 def fact_returns_weekly(spark, sf_dir):
     return marts.fact_returns_weekly(measures(spark, sf_dir))
@@ -57,17 +65,19 @@ def fact_return_reason_weekly(spark, sf_dir):
 
 @query(eligible_cte() + driver_sql())
 def fact_return_driver_weekly(spark, sf_dir):
-    return marts.fact_return_driver_weekly(measures(spark, sf_dir))
+    return marts.fact_return_driver_weekly(written_base(spark, sf_dir))
 
 
 @query(eligible_cte() + driver_sql(DRIVERS))
 def driver_multi(spark, sf_dir):
-    return marts.fact_return_driver_weekly(marts.weekly_base(eligible(spark, sf_dir)), DRIVERS)
+    return marts.fact_return_driver_weekly(written_base(spark, sf_dir), DRIVERS)
 
 
 def driver_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = marts.driver_rows(measures(spark, sf_dir))
-    return marts.sum_by(rows, marts.DRIVER_KEYS, ["total_shipments", "total_returns"])
+    rows = marts.driver_rows(written_base(spark, sf_dir))
+    facts = marts.sum_by(rows, marts.DRIVER_KEYS, ["total_shipments", "total_returns"])
+    rate = marts.safe_ratio(F.col("total_returns"), F.col("total_shipments"))
+    return marts.with_group_ranks(facts.withColumn("return_rate", rate))
 
 
 @query(
@@ -75,7 +85,8 @@ def driver_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {GROUP}, driver_type, driver_value, total_shipments, shipments_share FROM d"""
 )
 def driver_share(spark, sf_dir):
-    return marts.driver_share(driver_facts(spark, sf_dir)).drop("total_returns")
+    facts = driver_facts(spark, sf_dir).withColumn("shipments_share", marts.shipments_share())
+    return facts.select(*marts.DRIVER_KEYS, "total_shipments", "shipments_share")
 
 
 @query(
@@ -83,10 +94,8 @@ def driver_share(spark, sf_dir):
 SELECT {GROUP}, driver_type, driver_value, return_rate, rank_in_group FROM d"""
 )
 def driver_rank(spark, sf_dir):
-    facts = driver_facts(spark, sf_dir).withColumn(
-        "return_rate", marts.safe_ratio(F.col("total_returns"), F.col("total_shipments"))
-    )
-    return marts.driver_rank(facts).drop("total_shipments", "total_returns")
+    facts = driver_facts(spark, sf_dir)
+    return facts.select(*marts.DRIVER_KEYS, "return_rate", "rank_in_group")
 
 
 @query(
@@ -97,7 +106,7 @@ SELECT year, week_of_year, province, city, expedition, driver_value, rank_in_gro
 def driver_sorted_export(spark, sf_dir):
     """The driver mart as sorted text files with decimal commas, read back."""
     path = scratch_path(spark, "sorted")
-    mart = marts.fact_return_driver_weekly(measures(spark, sf_dir))
+    mart = marts.fact_return_driver_weekly(written_base(spark, sf_dir))
     texts = marts.sorted_driver(mart).withColumn("return_rate", decimal_comma(F.col("return_rate")))
     texts.write.csv(path, header=True, sep=";")
     kept = GROUP.split(", ") + ["driver_value", "rank_in_group", "return_rate"]
@@ -171,12 +180,8 @@ SELECT mart, check_name, CAST(violations AS BIGINT) AS violations FROM (
   UNION ALL SELECT 'fact_return_driver_weekly', 'first_rank_is_one', (SELECT count(*) FROM g WHERE first_rank <> 1))"""
 )
 def mart_quality(spark, sf_dir):
-    path = scratch_path(spark, "base")
-    rows = eligible(spark, sf_dir)
-    base = marts.weekly_base(rows)
-    base.write.parquet(path)
-    built = marts_from(spark.read.schema(base.schema).parquet(path))
-    return check_marts(rows, *built.values())
+    built = marts_from(written_base(spark, sf_dir))
+    return check_marts(eligible(spark, sf_dir), *built.values())
 
 
 @query(eligible_cte() + weekly_sql())

@@ -174,3 +174,15 @@ def test_incremental_runs_equal_one_batch(spark, tmp_path):
     incremental.apply_batch(whole, spark.read.parquet(landing), 0, "carrier")
     assert marts(whole) == once
     assert set(once) == set(MARTS) and all(once.values())
+
+
+def test_csv_files_can_be_streamed(spark, tmp_path):
+    from parcelmart.schemas import EXPORT_FIELDS
+
+    rows = carrier_shipments(spark, SF).select(*EXPORT_FIELDS).filter("created_at like '%1997-03%'")
+    rows.write.csv(str(tmp_path / "landing"), header=True, quote='"', escape='"', emptyValue="")
+    layout = Layout(str(tmp_path / "w"))
+    incremental.run_available(spark, incremental.landed_csv(spark, str(tmp_path / "landing")), layout)
+    weekly = read_marts(spark, layout)["fact_returns_weekly"]
+    eligible = mart_queries.eligible_exports(rows).count()
+    assert weekly.agg(F.sum("total_shipments")).first()[0] == eligible > 0
