@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
+from parcelmart.llm.langid import identify_language
+from parcelmart.llm.pii import all_spans, find_spans
+from parcelmart.llm.quality import remainder, score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +54,45 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item: five-word shingles, containment of 0.8 or more."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of personal data, and the terms that reveal them."""
+    return find_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2("base", 256).alias("base_sha256"),
+        all_spans().alias("spans"),
+    )
+
+
+@query()
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of quality label 1, learned from the ids whose remainder is not 1."""
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    scored = score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(F.col("key"), 3) != 1, ["doc_id"]
+    )
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the ids whose remainder is not 0."""
+    learn = remainder(F.col("doc_id"), 5) != 0
+    found = identify_language(table(spark, sf_dir, "documents"), learn, ["doc_id"])
+    return found.select(
+        "doc_id",
+        F.coalesce(~learn, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )

@@ -79,9 +79,12 @@ def runs(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         first = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the number of the first word of each row (with the end)."""
-    inside = ~_SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and the number of the first word of each row (with the
+    end). ``between`` marks the byte values that stand between words."""
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     row_starts = offsets[:-1][offsets[:-1] < len(data)]
