@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.langid import identify_language
+from parcelmart.llm.pieces import encode_texts
 from parcelmart.llm.pii import all_spans, find_spans
 from parcelmart.llm.quality import remainder, score_quality
+from parcelmart.llm.warc import read_records, write_archives
+from parcelmart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,3 +99,30 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred",
         F.col("lang_score").alias("score"),
     )
+
+
+@query()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether decoding gives it back."""
+    encoded = encode_texts(table(spark, sf_dir, "documents"), ["doc_id"])
+    return encoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip")
+
+
+@query(
+    """
+    SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+           CASE WHEN strlen(h) >= 1000 AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(h) >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+    FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+    """
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back from byte ranges."""
+    archives = write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read_records(archives, payloads=False).select(
+        F.regexp_extract("record_id", "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long").alias("refers_to"),
+    )
