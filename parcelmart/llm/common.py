@@ -18,3 +18,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches of few rows where the session has Spark's default, since rows
+    may hold very long texts."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df.mapInArrow(function, schema)

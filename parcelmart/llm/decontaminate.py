@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import written
+from parcelmart.llm.common import mapped, written
 from parcelmart.llm.words import runs, shingle_sets, shingles, word_hashes, word_spans
 
 FILTER_BITS = 22
@@ -149,7 +149,7 @@ def find_leaks(
         own = sets.filter(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == number).collect()
         if own:
             index = spark.sparkContext.broadcast(_Block(own, threshold))
-            found = found.union(texts.mapInArrow(_search(index, threshold), found.schema))
+            found = found.union(mapped(texts, _search(index, threshold), found.schema))
     return (
         found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
         .groupBy("doc_id", "item_id")

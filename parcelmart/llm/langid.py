@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from parcelmart.llm.common import mapped
 from parcelmart.llm.words import text_bytes
 
 BITS = 1 << 14
@@ -176,8 +177,8 @@ def identify_language(
         return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("lang_score"))
     each = max(1, sample // languages)
     drawn = labelled.select("key", "lang", F.xxhash64("key", F.length("text")).alias("draw"))
-    part = drawn.withColumn("part", F.pmod("draw", F.lit(64)))
-    for by in (["lang", "part"], ["lang"]):  # a language's rows are cut in 64 parts before they meet
+    part = drawn.withColumn("part", F.pmod("draw", F.lit(16)))
+    for by in (["lang", "part"], ["lang"]):  # a language's rows are cut in 16 parts before they meet
         part = part.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("draw", "key"))).filter(F.col("rank") <= each)
     wanted = part.select("key", "lang").distinct()
     examples = labelled.join(F.broadcast(wanted), ["key", "lang"]).select("key", "lang", "text")  # at most `sample` pairs
@@ -191,4 +192,4 @@ def identify_language(
         return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("lang_score"))
     model = docs.sparkSession.sparkContext.broadcast((list(fitted[0]), bytes(fitted[1]), bytes(fitted[2])))
     schema = StructType([*rows.schema[:-1], StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
-    return rows.mapInArrow(_predict(model), schema)
+    return mapped(rows, _predict(model), schema)

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
+from parcelmart.llm.common import mapped
+
 MARKER = "▁"
 UNKNOWN_TEXT = " ⁇ "
 CACHED = 250_000  # cuts a task keeps; beyond it starts anew
@@ -326,7 +328,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model: str = "/opt/tokenizers
     sent = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
     rows = docs.select(*keep, F.col(text).cast("string").alias("encoded_text"))
     schema = StructType([*rows.schema[:-1], StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
-    return rows.mapInArrow(_encode(sent), schema)
+    return mapped(rows, _encode(sent), schema)
 
 
 def _decode(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -350,4 +352,4 @@ def decode_ids(rows: DataFrame, keep: list[str], model: str = "/opt/tokenizers/p
     sent = rows.sparkSession.sparkContext.broadcast(load_pieces(model))
     taken = rows.select(*keep, F.col(ids).cast("array<int>").alias("decoded_ids"))
     schema = StructType([*taken.schema[:-1], StructField("text", StringType())])
-    return taken.mapInArrow(_decode(sent), schema)
+    return mapped(taken, _decode(sent), schema)

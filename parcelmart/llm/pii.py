@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import written
+from parcelmart.llm.common import mapped, written
 from parcelmart.llm.words import runs, word_hashes, word_spans
 
 # The base patterns of the contract.
@@ -211,7 +211,7 @@ def find_spans(docs: DataFrame, disclosure: float = 0.8, doc_id: str = "doc_id",
 
 
 def _spans_of(rows: DataFrame, disclosure: float) -> DataFrame:
-    found = written(rows.mapInArrow(_detect, FOUND), "pii-found")
+    found = written(mapped(rows, _detect, FOUND), "pii-found")
     corpus = written(
         rows.select("text")
         .mapInArrow(_term_counts, "term long, lines long")

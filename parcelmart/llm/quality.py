@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from parcelmart.llm.common import mapped
 from parcelmart.llm.words import runs, word_hashes, word_spans
 
 BUCKETS = 1 << 16  # rows of the vector table for words, for byte pairs, byte triples and word pairs
@@ -178,4 +179,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, usable: Column, keep: list
         return rows.select(*keep, F.lit(0.5).alias("quality_score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
     schema = StructType([*rows.schema[:-1], StructField("quality_score", DoubleType())])
-    return rows.mapInArrow(_score(sent), schema)
+    return mapped(rows, _score(sent), schema)

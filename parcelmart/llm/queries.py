@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.langid import identify_language
+from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
 from parcelmart.llm.pii import all_spans, find_spans
 from parcelmart.llm.quality import remainder, score_quality
@@ -126,3 +127,36 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long").alias("refers_to"),
     )
+
+
+@query(
+    f"""
+    WITH RECURSIVE doc AS (
+        SELECT doc_id, CASE WHEN len(w) > 0 THEN
+                   list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, greatest(len(w) - 2, 1) + 1)]))
+               ELSE [] END AS grams
+        FROM (SELECT doc_id, {WORDS} AS w FROM documents)),
+    kind AS (SELECT grams, min(doc_id) AS root, len(grams) AS n FROM doc WHERE len(grams) > 0 GROUP BY grams),
+    gram AS (SELECT root, n, unnest(grams) AS gram FROM kind),
+    often AS (SELECT gram, count(*) AS often FROM gram GROUP BY 1),
+    prefix AS (
+        SELECT root, n, gram FROM (
+            SELECT root, n, gram, row_number() OVER (PARTITION BY root ORDER BY often, gram) AS pos FROM gram JOIN often USING (gram))
+        WHERE pos <= n - (90 * n + 99) // 100 + 1),
+    met AS (
+        SELECT DISTINCT a.root AS a, b.root AS b FROM prefix a JOIN prefix b USING (gram)
+        WHERE a.root < b.root AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+    link AS (
+        SELECT a, b FROM met JOIN kind x ON x.root = a JOIN kind y ON y.root = b
+        WHERE 190 * len(list_intersect(x.grams, y.grams)) >= 90 * (x.n + y.n)),
+    edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT root AS node, root AS reached FROM kind UNION SELECT node, b FROM reach JOIN edge ON a = reached),
+    component AS (SELECT node, min(reached) AS component_id FROM reach GROUP BY node)
+    SELECT d.doc_id, CAST(len(d.grams) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+    FROM doc d LEFT JOIN kind k ON k.grams = d.grams LEFT JOIN component c ON c.node = k.root
+    """
+)
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")

@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import written
+from parcelmart.llm.common import mapped, written
 
 # Fixed values of the formats.
 MAGIC = b"\x1f\x8b\x08"
@@ -133,7 +133,7 @@ def write_archives(
         .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("refers_to")), F.col("refers_to")))
         .select("page_id", "url", "html", "digest", "refers_to")
     )
-    return written(marked.mapInArrow(_write(folder, target_bytes, level, date), ARCHIVES), "warc-manifest")
+    return written(mapped(marked, _write(folder, target_bytes, level, date), ARCHIVES), "warc-manifest")
 
 
 class _Range:
@@ -280,4 +280,4 @@ def read_records(archives: DataFrame, split_bytes: int = 8 << 20, payloads: bool
         .withColumn("end", F.col("start") + split_bytes)
         .repartition("path", "start")
     )
-    return ranges.mapInArrow(_read(payloads), RECORDS).filter("record_type <> 'warcinfo'")
+    return mapped(ranges, _read(payloads), RECORDS).filter("record_type <> 'warcinfo'")

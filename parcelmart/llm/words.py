@@ -133,9 +133,21 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarra
         starts, ends, first_word = word_spans(data, offsets)
         made, bounds = shingles(word_hashes(data, starts, ends), first_word, n)
         row = np.repeat(np.arange(end - first), np.diff(bounds))
-        order = np.lexsort((made, row))
+        order = _by_row_and_hash(row, made, end - first)
         made, row = made[order], row[order]
         fresh = np.ones(len(made), bool)
         fresh[1:] = (made[1:] != made[:-1]) | (row[1:] != row[:-1])
         made, row = made[fresh], row[fresh]
         yield first, end, made, np.searchsorted(row, np.arange(end - first + 1))
+
+
+def _by_row_and_hash(row: np.ndarray, hashes: np.ndarray, rows: int) -> np.ndarray:
+    """The order by row and hash. One key of the row and the upper bits of the hash sorts fastest; it
+    decides unless two hashes of a row share those bits."""
+    bits = np.uint64(max(1, int(rows).bit_length()))
+    key = (row.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits)
+    order = np.argsort(key)
+    key, sorted_hashes = key[order], hashes[order]
+    if ((key[1:] == key[:-1]) & (sorted_hashes[1:] != sorted_hashes[:-1])).any():
+        return np.lexsort((hashes, row))
+    return order
