@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
+from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
 from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
@@ -160,3 +161,9 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
     return found.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")
+
+
+@query()
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
