@@ -11,6 +11,7 @@ from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
+from parcelmart.llm.line_dedup import repeated_lines
 from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
 from parcelmart.llm.pii import all_spans, find_spans
@@ -167,3 +168,49 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every vector whose id is divisible by 100."""
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    """
+    WITH line AS (
+        SELECT doc_id, line, list_sort(list_distinct(w)) AS words FROM (
+            SELECT doc_id, k - 1 AS line, regexp_extract_all(lower(parts[k]), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS k
+                  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)))
+        WHERE len(w) > 0),
+    kind AS (SELECT row_number() OVER () AS kind, * FROM (
+        SELECT words, len(words) AS n, min(doc_id * 1000000 + line) AS first FROM line GROUP BY words)),
+    word AS (SELECT kind, n, first, unnest(words) AS word FROM kind),
+    often AS (SELECT word, count(*) AS often FROM word GROUP BY 1),
+    prefix AS (
+        SELECT kind, n, first, word FROM (
+            SELECT kind, n, first, word, row_number() OVER (PARTITION BY kind ORDER BY often, word) AS pos FROM word JOIN often USING (word))
+        WHERE pos <= n - (80 * n + 99) // 100 + 1),
+    met AS (
+        SELECT DISTINCT a.kind AS a, b.kind AS b FROM prefix a JOIN prefix b USING (word)
+        WHERE b.first < a.first AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+    later AS (
+        SELECT DISTINCT a FROM met JOIN kind x ON x.kind = a JOIN kind y ON y.kind = b
+        WHERE 180 * len(list_intersect(x.words, y.words)) >= 80 * (x.n + y.n)),
+    gone AS (
+        SELECT doc_id, line FROM line JOIN kind USING (words)
+        WHERE doc_id * 1000000 + line <> first OR kind IN (SELECT a FROM later))
+    SELECT d.doc_id, CAST(coalesce(g.n_removed, 0) AS BIGINT) AS n_removed, coalesce(g.removed, '') AS removed
+    FROM documents d LEFT JOIN (
+        SELECT doc_id, count(*) AS n_removed, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS removed FROM gone GROUP BY doc_id) g
+    USING (doc_id)
+    """
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the lines of each document that repeat an earlier line."""
+    docs = table(spark, sf_dir, "documents")
+    gone = (
+        repeated_lines(docs)
+        .groupBy("doc_id", "version")
+        .agg(F.count("*").alias("n_removed"), F.array_join(F.sort_array(F.collect_list("line")), ",").alias("removed"))
+    )
+    every = docs.select("doc_id", F.xxhash64("text").alias("version"))
+    met = every["doc_id"].eqNullSafe(gone["doc_id"]) & (every["version"] == gone["version"])
+    return every.join(gone, met, "left").select(
+        every["doc_id"], F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed")
+    )
