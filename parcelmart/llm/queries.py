@@ -11,6 +11,8 @@ from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
+from parcelmart.llm.licence_texts import LICENCE_TEXTS, NOTICES, SPELLINGS
+from parcelmart.llm.license_scan import COPYRIGHT_LINE, NO_WORD, RESERVED_LINE, scan_licences
 from parcelmart.llm.line_dedup import repeated_lines
 from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
@@ -19,6 +21,26 @@ from parcelmart.llm.quality import remainder, score_quality
 from parcelmart.llm.warc import read_records, write_archives
 from parcelmart.session import scratch_path
 
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _sql_canonical(text: str) -> str:
+    """The canonical form of the licence scan in DuckDB's terms."""
+    whole = f"lower({text})"
+    for pattern, replacement in ((COPYRIGHT_LINE, ""), (RESERVED_LINE, ""), (NO_WORD, " ")):
+        whole = f"regexp_replace({whole}, {_sql_text(pattern)}, '{replacement}', 'g')"
+    return whole
+
+
+def _sql_whole(lines: str) -> str:
+    whole = f"trim(regexp_replace({lines}, '[ \n]+', ' ', 'g'))"
+    for pattern, replacement in SPELLINGS.items():
+        whole = f"regexp_replace({whole}, {_sql_text(pattern)}, {_sql_text(replacement)}, 'g')"
+    return whole
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -214,3 +236,30 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(gone, met, "left").select(
         every["doc_id"], F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed")
     )
+
+
+_KNOWN = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in LICENCE_TEXTS.items())
+_NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in NOTICES.items())
+
+
+@query(
+    f"""
+    WITH known AS (
+        SELECT sha256(whole) AS digest, min(name) AS licence
+        FROM (SELECT name, {_sql_whole(_sql_canonical("text"))} AS whole FROM (VALUES {_KNOWN}) t(name, text)) GROUP BY 1),
+    notice AS (SELECT trim({_sql_canonical("line")}) AS line, name FROM (VALUES {_NOTICES}) t(line, name)),
+    doc AS (SELECT row_number() OVER () AS row, doc_id, {_sql_canonical("text")} AS lines FROM documents),
+    found AS (
+        SELECT row, string_agg(name, ',' ORDER BY name) AS notices
+        FROM (SELECT DISTINCT row, name FROM (SELECT row, unnest(string_split(lines, chr(10))) AS line FROM doc) d
+              JOIN notice ON trim(d.line) = notice.line)
+        GROUP BY row)
+    SELECT doc_id, CASE WHEN whole <> '' THEN sha256(whole) END AS digest, licence, coalesce(notices, '') AS notices
+    FROM (SELECT *, {_sql_whole("lines")} AS whole FROM doc) d
+    LEFT JOIN known ON known.digest = sha256(d.whole) AND whole <> '' LEFT JOIN found USING (row)
+    """
+)
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digests of entire texts, the known licence each is, and the notices in it."""
+    known = spark.createDataFrame(list(LICENCE_TEXTS.items()), "name string, text string")
+    return scan_licences(table(spark, sf_dir, "documents"), known)
