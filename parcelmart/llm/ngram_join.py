@@ -4,9 +4,10 @@ Rows with equal sets form a class and take part once. N-grams are ordered rare f
 frequencies over all documents; two sets that are similar enough share an n-gram within a prefix
 of that order, so classes meet on their prefix n-grams only. Of those that meet, pairs are dropped by
 the length filter, by the positional filter (too few n-grams left after the shared one) and by
-the suffix filter: the sets are cut into 256 parts by hash, and each part whose sizes differ in
-parity holds at least one n-gram that is not shared. What is left is verified once per pair on the
-whole sets.
+the suffix filter: the sets are cut into 256 parts by hash, and at least as many n-grams are not
+shared as the sizes of the parts differ, summed over the parts. While pairs are joined, this is done
+with the parities of the sizes, then with the sizes themselves. What is left is verified once per
+pair on the whole sets.
 
 N-grams and classes are 64-bit hashes; two that differ are taken as one with a probability of
 2**-64 per pair.
@@ -29,7 +30,9 @@ CELL_BITS = 20  # n-grams are counted in so many hash cells
 BLOCK = 4096  # cells of one row of counts
 FILTER_BITS = 23
 PARITY = ["p0", "p1", "p2", "p3"]
-SETS = "doc_id long, n int, cls long, p0 long, p1 long, p2 long, p3 long, block int, counts binary"
+PARTS = 256
+KEY = "near duplicate key"
+SETS = "doc_id long, n int, cls long, p0 long, p1 long, p2 long, p3 long, parts binary, block int, counts binary"
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
@@ -43,23 +46,25 @@ def _classes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix((total[bounds[1:]] - total[bounds[:-1]]) ^ np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-def _parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Four words of 64 bits for each row: the parity of the number of n-grams in each of 256 parts."""
+def _part_sizes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each row the number of n-grams in each of 256 parts."""
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    counts = np.bincount(row * 256 + (hashes & np.uint64(255)).astype(np.int64), minlength=256 * (len(bounds) - 1))
-    return np.packbits((counts & 1).astype(bool).reshape(-1, 256), axis=1).view(np.int64)
+    sizes = np.bincount(row * PARTS + (hashes & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS * (len(bounds) - 1))
+    return sizes.reshape(-1, PARTS)
 
 
 def _describe(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For each row its id, set size, class and parities; after them the counts of n-grams by cell."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "cls", *PARITY, "block", "counts"]
+        names = ["doc_id", "n", "cls", *PARITY, "parts", "block", "counts"]
         total = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
             for first, end, hashes, bounds in shingle_sets(batch.column(1), words):
                 total += np.bincount(_cells(hashes), minlength=1 << CELL_BITS)
-                parities = _parities(hashes, bounds)
+                sizes = _part_sizes(hashes, bounds)
+                parities = np.packbits((sizes & 1).astype(bool), axis=1).view(np.int64)
+                least = np.minimum(sizes, 255).astype(np.uint8)  # a size beyond 255 counts as 255, which keeps the bound
                 rows = end - first
                 yield pa.record_batch(
                     [
@@ -67,6 +72,7 @@ def _describe(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                         pa.array(np.diff(bounds), pa.int32()),
                         pa.array(_classes(hashes, bounds)),
                         *(pa.array(np.ascontiguousarray(parities[:, k])) for k in range(4)),
+                        pa.array([x.tobytes() for x in least], pa.binary()),
                         pa.nulls(rows, pa.int32()),
                         pa.nulls(rows, pa.binary()),
                     ],
@@ -74,7 +80,7 @@ def _describe(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 )
         blocks = total.reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(1))
-        empty = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int64(), *[pa.int64()] * 4)]
+        empty = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int64(), *[pa.int64()] * 4, pa.binary())]
         counts = pa.array([blocks[k].astype(np.uint32).tobytes() for k in used], pa.binary())
         yield pa.record_batch([*empty, pa.array(used, pa.int32()), counts], names=names)
 
@@ -152,6 +158,19 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(bit >> 6), pa.array(np.left_shift(np.int64(1), bit & 63))], names=["word", "bits"])
 
 
+def _sizes_allow(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of pairs (a, b, n_a, n_b, parts_a, parts_b) those that the sizes of the parts do not rule out."""
+
+    def allow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int64) for k in (4, 5))
+            apart = np.abs(a - b).sum(1)
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            yield batch.select([0, 1, 2, 3]).filter(pa.array((100 + percent) * (both - apart) >= 2 * percent * both))
+
+    return allow
+
+
 def _similar(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
     """Whether an overlap of that size (or a bound on it) is enough."""
     return (100 + percent) * overlap >= percent * (n_a + n_b)
@@ -180,28 +199,26 @@ class _Join:
         self.classes = written(
             self.described.filter("n > 0")
             .groupBy("cls")
-            .agg(F.min("doc_id").alias("root"), F.count("*").alias("rows"), *(F.first(p).alias(p) for p in PARITY)),
+            .agg(F.min("doc_id").alias("root"), F.count("*").alias("rows"), *(F.first(p).alias(p) for p in [*PARITY, "parts"])),
             "ngram-classes",
         )
         ranks = self.spark.sparkContext.broadcast(_ranks(described))
         postings = written(
             mapped(self.rows.select("text"), _prefixes(words, percent, ranks), "token long, cls long, n int, pos int"), "ngram-prefixes"
         )
-        # a token's pivot is the class in which it stands first: the one with the fewest rarer n-grams
-        tokens = (
-            postings.groupBy("token")
-            .agg(F.min(F.struct("pos", "cls", "n")).alias("pivot"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-            .filter("low <> high")
-            .select("token", "pivot")
-        )
-        self.shared = written(
-            postings.join(tokens, "token").dropDuplicates(["token", "cls"]).join(self.classes.select("cls", *PARITY), "cls"),
-            "ngram-shared",
+        often = postings.groupBy("token").count().filter("count > 1").select("token")
+        met = written(
+            postings.join(often, "token").dropDuplicates(["token", "cls"]).join(self.classes.select("cls", *PARITY), "cls"), "ngram-met"
         )
+        # a token's pivot is the class in which it stands first: the one with the fewest rarer n-grams
+        pivots = met.groupBy("token").agg(F.min(F.struct("pos", "cls")).alias("pivot"))
+        self.shared = met.join(pivots, "token")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs of classes (a, b, n_a, n_b) that are similar, with their overlap."""
-        pairs = written(pairs, "ngram-candidates")
+        parts = lambda side: self.classes.select(F.col("cls").alias(side), F.col("parts").alias(f"parts_{side}"))
+        sized = pairs.join(parts("a"), "a").join(parts("b"), "b").select("a", "b", "n_a", "n_b", "parts_a", "parts_b")
+        pairs = written(mapped(sized, _sizes_allow(self.percent), "a long, b long, n_a long, n_b long"), "ngram-candidates")
         ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         ends = written(ends.join(self.classes.select("cls", "root"), "cls"), "ngram-ends")
         marks = mapped(ends.select("root").filter("root is not null"), _mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
@@ -209,13 +226,13 @@ class _Join:
         for row in marks.collect():  # at most 2**17 rows
             words[row["word"]] = row["bits"]
         wanted = self.spark.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool))
-        sets = mapped(self.rows, _wanted_sets(self.words, wanted), "cls long, grams array<long>")
-        sets = written(sets.join(ends.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "ngram-verify")
+        # the rows that roots name; a row that comes twice or is not wanted changes no distinct pair
+        sets = written(mapped(self.rows, _wanted_sets(self.words, wanted), "cls long, grams array<long>"), "ngram-verify")
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")), "a").join(
             sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")), "b"
         )
         both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("overlap"))
-        return written(both.filter(_similar(self.percent, F.col("overlap"), F.col("n_a"), F.col("n_b"))), "ngram-links")
+        return written(both.filter(_similar(self.percent, F.col("overlap"), F.col("n_a"), F.col("n_b"))).distinct(), "ngram-links")
 
     def _pairs(self, left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
         met = left.alias("x").join(right.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _close(self.percent, "x", "y"))
@@ -306,3 +323,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         F.col("n").cast("long").alias("n_ngrams"),
         F.when((F.col("n") > 0) & F.col("any").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id
+    (null last) and then the smallest hash of its text, once. Rows without an n-gram all stay."""
+    body = F.col(text).cast("string")
+    key = F.xxhash64(F.col(doc_id).cast("long"), body)
+    found = written(
+        near_duplicates(docs.select(key.alias("key"), body.alias("text")), words, percent, "key", "text").filter("n_ngrams > 0").select(
+            F.col("doc_id").alias("key"), "component_id"
+        ),
+        "ngram-found",
+    )
+    ids = docs.select(key.alias("key"), F.col(doc_id).cast("long").alias("id"))
+    grouped = found.groupBy("key", "component_id").agg(F.count("*").alias("rows"))
+    many = grouped.groupBy("component_id").agg(F.sum("rows").alias("n")).filter("n > 1")
+    members = grouped.join(many.select("component_id"), "component_id")
+    named = members.join(ids.distinct(), "key")
+    best = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+    best = written(best.select(F.col("best.key").alias("best")), "ngram-best")
+    gone = written(members.select("key").distinct().withColumnRenamed("key", "gone"), "ngram-gone")
+    kept = docs.join(gone, key == gone["gone"], "left_anti")
+    chosen = docs.join(best, key == best["best"], "left_semi")
+    once = chosen.withColumn(KEY, key).dropDuplicates([KEY]).drop(KEY)
+    return kept.unionByName(once)
