@@ -12,6 +12,7 @@ The vocabulary file is read on the driver by its public library; encoding does n
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -26,7 +27,7 @@ from parcelmart.llm.common import mapped
 
 MARKER = "▁"
 UNKNOWN_TEXT = " ⁇ "
-CACHED = 250_000  # cuts a task keeps; beyond it starts anew
+CACHED = 600_000  # cuts a worker keeps; beyond it starts anew
 CHARACTERS = 1 << 20  # about so many characters are encoded at a time
 
 _CUTS = re.compile(" +[^ ]+| +$")
@@ -186,7 +187,7 @@ def viterbi(p: Pieces, cuts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     node = start + cut_of[start]
     target = end + cut_of[start]
     local = start - first[:-1][cut_of[start]]
-    order = np.argsort(local, kind="stable")
+    order = np.argsort(local.astype(np.uint16) if len(local) and local.max() < 1 << 16 else local, kind="stable")
     node, target, piece, gain, local = node[order], target[order], piece[order], gain[order], local[order]
     best = np.full(len(data) + len(cuts), -np.inf)
     best[first[:-1] + np.arange(len(cuts))] = 0
@@ -301,9 +302,15 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, texts
 
 
-def _encode(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_ENCODERS: dict[str, Encoder] = {}  # by call: a worker keeps its cuts from task to task
+
+
+def _encode(model, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
+        if key not in _ENCODERS:
+            _ENCODERS.clear()
+            _ENCODERS[key] = Encoder(model.value)
+        encoder = _ENCODERS[key]
         for batch in batches:
             for first, texts in _slices(batch.column(batch.num_columns - 1)):
                 ids, bounds = encoder.encode(texts)
@@ -328,7 +335,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model: str = "/opt/tokenizers
     sent = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
     rows = docs.select(*keep, F.col(text).cast("string").alias("encoded_text"))
     schema = StructType([*rows.schema[:-1], StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
-    return mapped(rows, _encode(sent), schema)
+    return mapped(rows, _encode(sent, uuid.uuid4().hex), schema)
 
 
 def _decode(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
