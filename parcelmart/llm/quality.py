@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from parcelmart.llm.common import mapped
 from parcelmart.llm.words import runs, word_hashes, word_spans
@@ -23,6 +23,7 @@ from parcelmart.llm.words import runs, word_hashes, word_spans
 BUCKETS = 1 << 16  # rows of the vector table for words, for byte pairs, byte triples and word pairs
 PAIR, TRIPLE, WORD_PAIR, ROWS = BUCKETS, 2 * BUCKETS, 3 * BUCKETS, 4 * BUCKETS
 ZEROS = 32
+SCORED = "scored text"
 
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,36 +148,41 @@ def fit_quality(
     return vectors.reshape(ROWS, size), out.reshape(size, 2), bias
 
 
-def _score(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _score(model, at: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, out, bias = model.value
         # mean(vectors) @ out = mean(vectors @ out); with two classes the softmax needs the difference only
         table = (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64)
         for batch in batches:
             logits = np.zeros(batch.num_rows)
-            for first, end, data, offsets in runs(batch.column(batch.num_columns - 1)):
+            for first, end, data, offsets in runs(batch.column(at)):
                 total, n = np.zeros(end - first), np.zeros(end - first)
                 for feature, row in _features(data, offsets):
                     total += np.bincount(row, table[feature], minlength=end - first)
                     n += np.bincount(row, minlength=end - first)
                 logits[first:end] = total / (n + ZEROS)
             p = 1 / (1 + np.exp(-np.clip(logits + float(bias[1] - bias[0]), -500, 500)))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(p)], names=[*batch.schema.names[:-1], "quality_score"])
+            kept = [k for k, column in enumerate(batch.schema.names) if column != SCORED]
+            yield pa.record_batch([*(batch.column(k) for k in kept), pa.array(p)], names=[*(batch.schema.names[k] for k in kept), name])
 
     return score
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, usable: Column, keep: list[str], **settings) -> DataFrame:
-    """The ``keep`` columns of every row and quality_score, the probability of label 1.
+def score_quality(
+    docs: DataFrame, labels: DataFrame, usable: Column, keep: list[str], name: str = "quality_score", **settings
+) -> DataFrame:
+    """The ``keep`` columns of every row and, under ``name``, the probability of label 1.
 
     Empty and null texts have no features: they get the share that label 1 has by the bias alone.
     Repeated rows score alike; every row gives one row. Without any usable label every score is
     0.5. Columns beyond ``keep`` may have any name.
     """
     model = fit_quality(docs, labels, usable, **settings)
-    rows = docs.select(*keep, F.col("text").cast("string").alias("scored_text"))
     if model is None:
-        return rows.select(*keep, F.lit(0.5).alias("quality_score"))
+        return docs.select(*keep, F.lit(0.5).alias(name))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
-    schema = StructType([*rows.schema[:-1], StructField("quality_score", DoubleType())])
-    return mapped(rows, _score(sent), schema)
+    rows = docs.select(*keep)
+    schema = StructType([*rows.schema, StructField(name, DoubleType())])
+    if "text" in keep and rows.schema["text"].dataType == StringType():
+        return mapped(rows, _score(sent, keep.index("text"), name), schema)
+    return mapped(docs.select(*keep, F.col("text").cast("string").alias(SCORED)), _score(sent, len(keep), name), schema)

@@ -195,7 +195,8 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH line AS (
-        SELECT doc_id, line, list_sort(list_distinct(w)) AS words FROM (
+        SELECT doc_id, line, list_sort(list_distinct([array_to_string(w[i:i + 4], ' ')
+                                                      for i in range(1, greatest(len(w) - 4, 1) + 1)])) AS words FROM (
             SELECT doc_id, k - 1 AS line, regexp_extract_all(lower(parts[k]), '[^\\x20\\x09-\\x0D]+') AS w
             FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS k
                   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)))

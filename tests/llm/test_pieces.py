@@ -1,0 +1,117 @@
+import random
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from parcelmart.llm.pieces import Encoder, build_trie, decode, decode_ids, encode_texts, load_pieces, viterbi
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+texts = st.text(alphabet=st.sampled_from(list("aeintosh THE.,\n\té日😀 ▁0")), max_size=40)
+
+
+@lru_cache(1)
+def pieces():
+    return load_pieces(MODEL)
+
+
+@lru_cache(1)
+def vocabulary():
+    """Piece by bytes, read back from the trie's own source."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    special = lambda k: model.is_byte(k) or model.is_control(k) or model.is_unknown(k) or model.is_unused(k)
+    return {model.id_to_piece(k): k for k in range(model.get_piece_size()) if not special(k)}
+
+
+def best_score(text):
+    """The best score of all segmentations, by the plain recursion over characters."""
+    p, known = pieces(), vocabulary()
+    best = [0.0] + [-np.inf] * len(text)
+    for k in range(len(text)):
+        for n in range(1, min(48, len(text) - k) + 1):
+            piece = text[k : k + n]
+            gain = p.scores[known[piece]] if piece in known else p.unknown_score if n == 1 else None
+            if gain is not None:
+                best[k + n] = max(best[k + n], best[k] + gain)
+    return best[-1]
+
+
+def score(ids):
+    """Score of ids; runs of byte pieces are one unknown character each."""
+    p, total, data = pieces(), 0.0, b""
+    for i in ids:
+        at = np.flatnonzero(p.byte_ids == i)
+        if len(at):
+            data += bytes([at[0]])
+        else:
+            total += p.scores[i]
+    return total + len(data.decode()) * p.unknown_score
+
+
+@given(texts)
+@settings(max_examples=200, deadline=None)
+def test_segmentation_is_best_and_round_trips(text):
+    ids, bounds = Encoder(pieces()).encode([text])
+    plain = text.replace("▁", " ")
+    assert decode(pieces(), ids, bounds) == [plain]
+    if text:
+        assert score(ids.tolist()) == pytest.approx(best_score("▁" + plain.replace(" ", "▁")))
+
+
+def test_against_the_public_library():
+    """The library with the same pieces and scores as a unigram model; where scores tie, either may win."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto.FromString(open(MODEL, "rb").read())
+    for k, piece in enumerate(model.pieces):
+        if piece.type == 1:
+            piece.score = pieces().scores[k]
+    model.trainer_spec.model_type = 1
+    other = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    r = random.Random(1)
+    rows = ["".join(r.choice(["the ", "ing", " ", "é", "日", "tion", "\n", "x", "Zug"]) for _ in range(r.randint(0, 10))) for _ in range(500)]
+    ids, bounds = Encoder(pieces()).encode(rows)
+    for k, row in enumerate(rows):
+        mine, theirs = ids[bounds[k] : bounds[k + 1]].tolist(), other.encode(row)
+        assert mine == theirs or score(mine) == pytest.approx(score(theirs), abs=1e-4)
+
+
+def test_trie_holds_its_keys_only():
+    keys = sorted({bytes(random.Random(k).choices(range(256), k=k % 7 + 1)) for k in range(400)})
+    base, check, piece = build_trie(keys, list(range(len(keys))))
+
+    def find(key):
+        state = 0
+        for b in key:
+            step = base[state] + b + 1
+            if check[step] != state:
+                return -1
+            state = step
+        return piece[state]
+
+    assert [find(k) for k in keys] == list(range(len(keys)))
+    assert all(find(k + b"\x00x") == -1 for k in keys if k + b"\x00x" not in keys)
+
+
+def test_long_cut():
+    ids, bounds = viterbi(pieces(), [b"ab" * 5000, b"", b"x"])
+    assert decode(pieces(), ids, bounds) == ["ab" * 5000, "", "x"]
+
+
+def test_encode_and_decode_tables(spark):
+    rows = [(1, "The thing"), (1, "The thing"), (2, None), (3, ""), (None, "  é\n😀 "), (4, "word " * 30000), (5, "a▁b")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, ids string")
+    got = encode_texts(docs, ["doc_id", "text"])
+    assert got.columns == ["doc_id", "text", "ids", "round_trip"]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(rows, key=str)
+    assert {r.text: r.round_trip for r in got.collect()} == {t: t != "a▁b" for _, t in rows}
+    back = decode_ids(got.withColumnRenamed("text", "before"), ["before"])
+    assert all(r.text == (r.before or "").replace("▁", " ") for r in back.collect())
+    odd = spark.createDataFrame([([1, 2],), ([],), (None,), ([None, -5, 99999, 3 + 0xC3],)], "ids array<int>")
+    assert sorted(r.text for r in decode_ids(odd, []).collect()) == ["", "", "", "⁇  ⁇  ⁇ �"]
+    assert encode_texts(docs.limit(0), ["doc_id"]).collect() == []
