@@ -31,6 +31,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 BREAK = b"\r\n\r\n"
 
 READ_BYTES = 1 << 20
+MOST_TASKS = 20_000  # beyond it a task reads several ranges
 LONGEST_HEADER = 1 << 20
 ARCHIVES = "path string, bytes long, records long"
 
@@ -265,7 +266,7 @@ def _read(payloads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return read
 
 
-def read_records(archives: DataFrame, split_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
+def read_records(archives: DataFrame, split_bytes: int = 4 << 20, payloads: bool = True) -> DataFrame:
     """The records of the files that a manifest (path, bytes) names, but for warcinfo: path, offset,
     record_type, record_id, target_uri, refers_to, payload_bytes, payload_digest (SHA-1 in lower-case
     hexadecimal, of the full payload), payload (null for revisits and without ``payloads``).
@@ -278,6 +279,7 @@ def read_records(archives: DataFrame, split_bytes: int = 8 << 20, payloads: bool
         archives.filter("bytes > 0")
         .select("path", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"))
         .withColumn("end", F.col("start") + split_bytes)
-        .repartition("path", "start")
     )
+    # rows this small would all be put in one task; a stated number of partitions is kept
+    ranges = ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
     return mapped(ranges, _read(payloads), RECORDS).filter("record_type <> 'warcinfo'")
