@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,7 +29,8 @@ def tune(spark: SparkSession) -> None:
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine. Settings that can only be made at its
+    start, such as ``spark.checkpoint.dir``, go into ``extra``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("parcelmart")
@@ -43,18 +43,25 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in
-    ``spark.checkpoint.dir``. Only a local session may go without one."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``, which the cluster or the
+    session's builder sets, else the warehouse, which executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this session's intermediate tables."""
+    return f"{shared_folder(spark)}/parcelmart/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for one run's intermediate table."""
-    return f"{shared_folder(spark)}/parcelmart/{name}-{uuid.uuid4().hex}"
+    """A new path for one intermediate table."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this session. Call it when none of the DataFrames that
+    the registered queries gave is needed any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,9 +10,8 @@ from parcelmart.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("8", 8, **{"spark.driver.memory": "8g"})
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("8", 8, **{"spark.driver.memory": "8g", "spark.checkpoint.dir": shared})
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
