@@ -35,9 +35,69 @@ def _parse_text(text: Column, *year_last_orders: str) -> Column:
     )
 
 
+# Fixed value: the months by their first three letters.
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+_HALF_DAY = r"(?i)^(.*?)(\d{1,2})((?::\d{1,2}){0,2})\s*([ap])\.?m\.?$"
+_YEAR_FIRST_OTHER = r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(\D.*)?$"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+_DAY_NAME = r"(?i)^(\d{1,2})[\s.-]+([a-z]{3,9})\.?[\s,-]+(\d{4})(\D.*)?$"
+_NAME_DAY = r"(?i)^([a-z]{3,9})\.?\s+(\d{1,2}),?\s+(\d{4})(\D.*)?$"
+_SHORT_YEAR = r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{2})(\D.*)?$"
+
+
+def _part(text: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract(text, pattern, group)
+
+
+def _of_24_hours(text: Column) -> Column:
+    """A time that ends in AM or PM, with the hour of the whole day."""
+    hour = _part(text, _HALF_DAY, 2).try_cast("int")
+    afternoon = F.lower(_part(text, _HALF_DAY, 4)) == "p"
+    whole = F.when(hour.between(1, 12), hour % 12 + F.when(afternoon, 12).otherwise(0))
+    minutes = _part(text, _HALF_DAY, 3)
+    # a bare hour needs minutes to be read as a time
+    return F.concat(
+        _part(text, _HALF_DAY, 1), F.lpad(whole.cast("string"), 2, "0"), F.when(minutes == "", ":00").otherwise(minutes)
+    )
+
+
+def _named(text: Column, pattern: str, name: int, day: int) -> Column:
+    at = F.instr(F.lit(_MONTHS), F.lower(F.substring(_part(text, pattern, name), 1, 3)))
+    month = F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
+    return F.concat(
+        _part(text, pattern, 3), F.lit("-"), month.cast("string"), F.lit("-"), _part(text, pattern, day), _part(text, pattern, 4)
+    )
+
+
+def _with_iso_date(text: Column) -> Column:
+    """Other date shapes brought to those that ``_parse_text`` reads: year first with slashes or
+    points, eight digits, English month names, years of two digits (00-68 are 20xx), AM and PM."""
+    text = F.when(text.rlike(_HALF_DAY), _of_24_hours(text)).otherwise(text)
+    century = F.when(_part(text, _SHORT_YEAR, 4) <= "68", "20").otherwise("19")
+    return (
+        F.when(text.rlike(_YEAR_FIRST_OTHER), F.regexp_replace(text, _YEAR_FIRST_OTHER, "$1-$2-$3$4"))
+        .when(text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3"))
+        .when(text.rlike(_DAY_NAME), _named(text, _DAY_NAME, 2, 1))
+        .when(text.rlike(_NAME_DAY), _named(text, _NAME_DAY, 1, 2))
+        .when(
+            text.rlike(_SHORT_YEAR),
+            F.concat(
+                F.regexp_replace(text, _SHORT_YEAR, "$1$2$3$2"), century, F.regexp_replace(text, _SHORT_YEAR, "$4$5")
+            ),
+        )
+        .otherwise(text)
+    )
+
+
 def parse_ts_dayfirst(c: Column) -> Column:
-    """Export times: day before month, month first only where that is impossible."""
-    return _parse_text(strip(c.cast("string")), _DAY_MONTH, _MONTH_DAY)
+    """Export times: day before month, month first only where that is impossible. Year-first
+    texts are ISO in order whatever their separator. Texts of the usual shapes are read as they are;
+    only the others are rewritten first."""
+    text = strip(c.cast("string"))
+    usual = _parse_text(text, _DAY_MONTH, _MONTH_DAY)
+    rare = _with_iso_date(text)
+    return F.coalesce(usual, F.when(text.isNotNull(), _parse_text(rare, _DAY_MONTH, _MONTH_DAY)))
 
 
 def parse_ts_api(c: Column) -> Column:

@@ -21,9 +21,9 @@ def parse_number(c: Column) -> Column:
 
 
 def to_money(value: Column) -> Column:
-    """Two-digit decimal, so that sums do not depend on the row order; 0 beyond
-    the range of the type (16 digits before the point)."""
-    return F.coalesce(value.try_cast(MONEY), F.lit(0).cast(MONEY))
+    """Decimal, so that sums do not depend on the row order. Null beyond the range of the type (22
+    digits before the point): the amount is not taken for 0, and the quality checks count it."""
+    return F.when(value.isNull(), F.lit(0).cast(MONEY)).otherwise(value.try_cast(MONEY))
 
 
 def parse_money(c: Column) -> Column:

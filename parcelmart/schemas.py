@@ -100,7 +100,7 @@ CSV_NA_WORDS = [
 EXPORT_FIELDS = list(EXPORT_HEADERS)
 KNOWN_HEADERS = sorted({header for headers in EXPORT_HEADERS.values() for header in headers})
 
-MONEY = T.DecimalType(18, 2)
+MONEY = T.DecimalType(28, 6)
 
 
 def _struct(**columns: T.DataType) -> T.StructType:

@@ -48,9 +48,22 @@ def test_parse_number(spark):
     check(spark, cases + [(v, 0.0) for v in zero], numbers.parse_number(x()))
 
 
-def test_money_out_of_range_is_zero(spark):
-    got = apply(spark, ["1e20", "12.345", "1e15"], numbers.parse_money(x()).cast("string"))
-    assert got == ["0.00", "12.35", "1000000000000000.00"]
+def test_money_out_of_range_is_missing_and_other_amounts_are_kept(spark):
+    got = apply(spark, ["1e23", "12.345", "1e17", None, "x"], numbers.parse_money(x()).cast("string"))
+    assert got == [None, "12.345000", "100000000000000000.000000", "0.000000", "0.000000"]
+
+
+def test_parse_ts_dayfirst_of_other_shapes(spark):
+    t = dt.datetime
+    cases = [
+        ("2026/03/04", t(2026, 3, 4)), ("2026.3.4 10:30", t(2026, 3, 4, 10, 30)), ("20260304", t(2026, 3, 4)),
+        ("04/03/2026 10:00 AM", t(2026, 3, 4, 10)), ("04/03/2026 12:05:06 am", t(2026, 3, 4, 0, 5, 6)),
+        ("4-3-2026 1:15 p.m.", t(2026, 3, 4, 13, 15)), ("2026-03-04 12 PM", t(2026, 3, 4, 12)), ("4 Mar 2026", t(2026, 3, 4)),
+        ("04-MAR-2026 08:00", t(2026, 3, 4, 8)), ("March 4, 2026", t(2026, 3, 4)), ("Sept. 30 1999", t(1999, 9, 30)),
+        ("04/03/26", t(2026, 3, 4)), ("04.03.99 07:08", t(1999, 3, 4, 7, 8)), ("4 Mars Street", None), ("4 Foo 2026", None),
+        ("04/03/2026 13:00 PM", None), ("31/31/26", None), ("2026/13/40", None), ("20261340", None),
+    ]
+    check(spark, cases, dates.parse_ts_dayfirst(x()))
 
 
 def test_parse_ts_dayfirst(spark):
