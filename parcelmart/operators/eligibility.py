@@ -60,18 +60,25 @@ def _between(date: Column, start: dt.date, end: dt.date) -> Column:
     return (date >= F.lit(start)) & (date < F.lit(end + dt.timedelta(days=1)))
 
 
-def quarter_filter(orders: DataFrame, today: dt.date, date: str = "event_date") -> DataFrame:
-    """Orders of the quarter that holds ``today``."""
-    return orders.filter(_between(F.col(date), *quarter_of(today)))
+def quarter_filter(
+    orders: DataFrame, today: dt.date, date: str = "event_date", undated: bool = False
+) -> DataFrame:
+    """Orders of the quarter that holds ``today``, and on request those without a date."""
+    condition = _between(F.col(date), *quarter_of(today))
+    return orders.filter(condition | F.col(date).isNull() if undated else condition)
 
 
 def load_window(
-    orders: DataFrame, today: dt.date, date: str = "event_date", iso_year: bool = False
+    orders: DataFrame,
+    today: dt.date,
+    date: str = "event_date",
+    iso_year: bool = False,
+    undated: bool = False,
 ) -> DataFrame:
     """Orders of the current quarter and the other days of every week it touches, so
-    that each week handed to the marts is whole."""
+    that each week handed to the marts is whole; on request also those without a date."""
     ranges = whole_week_ranges(*quarter_of(today), iso_year)
-    condition = F.lit(False)
+    condition = F.col(date).isNull() if undated else F.lit(False)
     for start, end in ranges:
         condition = condition | _between(F.col(date), start, end)
     return orders.filter(condition)

@@ -13,19 +13,22 @@ from parcelmart.operators.eligibility import add_week_keys, eligible_exports
 from parcelmart.operators.normalize import bucket_services, export_normalize
 from parcelmart.operators.quality import mart_quality as check_marts
 from parcelmart.operators.tables import read_mart_or_empty, upsert_mart
-from parcelmart.plans.build import Layout, build_marts, marts_from, read_marts, run_quarter
+from parcelmart.plans.build import Layout, all_marts, build_marts, marts_from, read_marts, run_quarter
+from parcelmart.plans.build import raw_to_marts as take_raw
 from parcelmart.plans.oracle_sql import (
     GROUP,
+    all_marts_sql,
     driver_sql,
     eligible_cte,
     reason_sql,
     weekly_sql,
 )
 from parcelmart.plans.registry import query
-from parcelmart.plans.shipments import carrier_shipments
-from parcelmart.schemas import FACT_DRIVER, FACT_WEEKLY, WEEKLY_KEYS
+from parcelmart.plans.shipments import api2_pages, carrier_shipments, shipments
+from parcelmart.schemas import BASE_KEYS, FACT_DRIVER, FACT_WEEKLY, SOURCE_EXPORT, WEEKLY_KEYS
 from parcelmart.session import scratch_path
-from parcelmart.streaming.incremental import landed_parquet, run_available
+from parcelmart.sources.payloads import land_raw
+from parcelmart.streaming.incremental import apply_batch, landed_parquet, run_available
 
 DRIVERS = ["service_type", "payment_method", "return_reason"]
 
@@ -53,6 +56,15 @@ def written_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(base.schema).parquet(path)
 
 
+def dated_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per mart keys and day as a table: batches of days are read from it."""
+    path = scratch_path(spark, "dated")
+    rows = marts.order_measures(eligible(spark, sf_dir), [*BASE_KEYS, "event_date"])
+    days = marts.sum_by(rows, [*BASE_KEYS, "event_date"])
+    days.write.parquet(path)
+    return spark.read.schema(days.schema).parquet(path)
+
+
 @query(eligible_cte() + weekly_sql())
 def fact_returns_weekly(spark, sf_dir):
     return marts.fact_returns_weekly(measures(spark, sf_dir))
@@ -117,12 +129,12 @@ def driver_sorted_export(spark, sf_dir):
     return spark.read.csv(path, schema=schema, header=True, sep=";").select(*kept)
 
 
-@query(eligible_cte() + driver_sql())
+@query(eligible_cte() + all_marts_sql())
 def mart_build(spark, sf_dir):
     """The whole run: staging, weekly base and all marts as tables."""
     layout = Layout(scratch_path(spark, "build"))
     build_marts(spark, layout, orders(spark, sf_dir))
-    return read_marts(spark, layout)["fact_return_driver_weekly"]
+    return all_marts(read_marts(spark, layout))
 
 
 FIRST_END, SECOND_START = dt.date(1998, 6, 10), dt.date(1998, 5, 20)
@@ -138,30 +150,39 @@ SELECT f.* FROM first f WHERE NOT EXISTS (SELECT 1 FROM second s
 def mart_upsert(spark, sf_dir):
     """Two batches that share some weeks; the second one is upserted twice."""
     path = scratch_path(spark, "mart")
-    rows = eligible(spark, sf_dir)
+    rows = dated_base(spark, sf_dir)
     date = F.col("event_date")
     batches = [
         rows.filter((date <= F.lit(FIRST_END)) | date.isNull()),
         rows.filter(date >= F.lit(SECOND_START)),
     ]
     for batch in [batches[0], batches[1], batches[1]]:
-        mart = marts.fact_returns_weekly(marts.order_measures(batch))
-        upsert_mart(mart, path, FACT_WEEKLY, WEEKLY_KEYS)
+        upsert_mart(marts.fact_returns_weekly(batch), path, FACT_WEEKLY, WEEKLY_KEYS)
     return read_mart_or_empty(spark, path, FACT_WEEKLY)
 
 
 QUARTERS = [dt.date(1997, 2, 10), dt.date(1997, 5, 10)]
 
 
-@query(eligible_cte("event_date BETWEEN DATE '1997-01-01' AND DATE '1997-07-06' OR (event_date BETWEEN DATE '1997-12-29' AND DATE '1997-12-31')") + weekly_sql())
+@query(
+    eligible_cte(
+        "event_date IS NULL OR event_date BETWEEN DATE '1997-01-01' AND DATE '1997-07-06'"
+        " OR (event_date BETWEEN DATE '1997-12-29' AND DATE '1997-12-31')"
+    )
+    + all_marts_sql()
+)
 def quarter_runs(spark, sf_dir):
-    """Two weekly runs, one quarter each. The weeks at the edges are loaded
-    whole, and so is week 1, which also holds the last days of December."""
-    layout = Layout(scratch_path(spark, "quarters"))
-    rows = orders(spark, sf_dir)
+    """Two weekly runs, one quarter each, both with the orders that have no date. The weeks at the
+    edges are loaded whole, and so is week 1, which also holds the last days of December."""
+    folder = scratch_path(spark, "quarters")
+    # Landed once as parsed orders, by year, so that the windows prune folders and columns.
+    landed = orders(spark, sf_dir)
+    landed.withColumn("event_year", F.year("event_date")).write.partitionBy("event_year").parquet(f"{folder}/orders")
+    rows = spark.read.schema(landed.schema).parquet(f"{folder}/orders")
+    layout = Layout(f"{folder}/warehouse")
     for today in QUARTERS:
         run_quarter(spark, layout, rows, today)
-    return read_marts(spark, layout)["fact_returns_weekly"]
+    return all_marts(read_marts(spark, layout))
 
 
 @query(
@@ -180,11 +201,21 @@ SELECT mart, check_name, CAST(violations AS BIGINT) AS violations FROM (
   UNION ALL SELECT 'fact_return_driver_weekly', 'first_rank_is_one', (SELECT count(*) FROM g WHERE first_rank <> 1))"""
 )
 def mart_quality(spark, sf_dir):
-    built = marts_from(written_base(spark, sf_dir))
-    return check_marts(eligible(spark, sf_dir), *built.values())
-
-
-@query(eligible_cte() + weekly_sql())
+    """The checks over written marts; the orders are read once, for the base and their number."""
+    path = scratch_path(spark, "quality")
+    rows = eligible(spark, sf_dir).select("order_id", "return_flag", "order_value", "cod_value", "shipping_fee", *BASE_KEYS)
+    rows.write.parquet(f"{path}/orders")
+    rows = spark.read.schema(rows.schema).parquet(f"{path}/orders")
+    base = marts.weekly_base(rows)
+    base.write.parquet(f"{path}/base")
+    built = marts_from(spark.read.schema(base.schema).parquet(f"{path}/base"))
+    for name, mart in built.items():
+        mart.write.parquet(f"{path}/{name}")
+    written = [spark.read.schema(mart.schema).parquet(f"{path}/{name}") for name, mart in built.items()]
+    return check_marts(rows, *written)
+
+
+@query(eligible_cte() + all_marts_sql())
 def incremental_weeks(spark, sf_dir):
     """Exports landed in several files, taken in a few at a time by a file stream; the
     marts must be those of one batch."""
@@ -194,6 +225,57 @@ def incremental_weeks(spark, sf_dir):
     stream = landed_parquet(spark, f"{folder}/landed", ["carrier"], files_per_batch=3)
     layout = Layout(f"{folder}/warehouse")
     run_available(spark, stream, layout, expedition="carrier")
-    return read_marts(spark, layout)["fact_returns_weekly"]
+    return all_marts(read_marts(spark, layout))
+
+
+@query(eligible_cte() + all_marts_sql())
+def incremental_reload(spark, sf_dir):
+    """Orders that land twice: a third of them first with another status, region or date, a third
+    twice alike. The marts must be those of the last rows."""
+    folder = scratch_path(spark, "reload")
+    carrier_shipments(spark, sf_dir).write.parquet(f"{folder}/landed")
+    landed = spark.read.parquet(f"{folder}/landed")
+    third = F.pmod(F.xxhash64("tracking_no"), F.lit(3))
+    turn = F.pmod(F.xxhash64("tracking_no"), F.lit(7))
+    old = third == 0
+    first = landed.withColumns(
+        {
+            "delivery_status": F.when(old & (turn < 2), "Returned").when(old & (turn == 2), "Cancelled").otherwise(F.col("delivery_status")),
+            "recipient_region": F.when(old & (turn == 3), "Elsewhere / Town / T").otherwise(F.col("recipient_region")),
+            "created_at": F.when(old & (turn > 3), "2001-02-03 04:05:06").otherwise(F.col("created_at")),
+        }
+    )
+    layout = Layout(f"{folder}/warehouse")
+    apply_batch(layout, first, 0, "carrier")
+    for _ in range(2):  # the second time is a replay
+        apply_batch(layout, landed.filter(third < 2), 1, "carrier")
+    return all_marts(read_marts(spark, layout))
+
+
+def envelopes(normalized: DataFrame) -> DataFrame:
+    """One payload for each normalised order, in an envelope."""
+    record = F.to_json(F.struct(*normalized.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})
+    return normalized.select(
+        F.lit(SOURCE_EXPORT).alias("source"),
+        F.col("customer_reference_no").cast("long").alias("page"),
+        F.concat(F.lit(f'{{"source_mode":"{SOURCE_EXPORT}","data":['), record, F.lit("]}")).alias("payload"),
+    )
 
 
+@query(eligible_cte(carrier="'SPX'") + all_marts_sql())
+def raw_to_marts(spark, sf_dir):
+    """Envelopes of two runs and pages of the second API as landed payloads, the newest of each
+    taken to the marts. Rows of the API carry no status, so the marts hold the envelopes' orders."""
+    folder = scratch_path(spark, "raw_to_marts")
+    export_normalize(shipments(spark, sf_dir)).write.parquet(f"{folder}/orders")
+    rows = spark.read.parquet(f"{folder}/orders")
+    layout = Layout(f"{folder}/warehouse")
+    pages = api2_pages(spark, sf_dir).select(F.lit("api2").alias("source"), "page", "payload")
+    mixed = pages.withColumns(
+        {"source": F.lit(SOURCE_EXPORT), "payload": F.concat(F.lit('{"source_mode":"api","data":['), F.col("payload"), F.lit("]}"))}
+    )
+    older = envelopes(rows.withColumn("delivery_status", F.lit("Returned")))
+    for day, part in (("05", older), ("12", envelopes(rows)), ("12", pages), ("12", mixed)):
+        land_raw(part.withColumn("run_ts", F.lit(f"2026-01-{day} 01:00:00").cast("timestamp")), layout.raw)
+    take_raw(spark, layout, {SOURCE_EXPORT: "envelope", "api2": "api2"})
+    return all_marts(read_marts(spark, layout))

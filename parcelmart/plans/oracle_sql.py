@@ -191,3 +191,13 @@ ORDER_COLUMNS = """source_system, order_id, CAST(event_date AS VARCHAR) AS event
 EXPORT_COLUMNS = ORDER_COLUMNS + """, customer_reference_no, delivery_status, failed_reason, delay_reason,
   strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
   strftime(returned_at, '%Y-%m-%d %H:%M:%S') AS returned_to_sender_at"""
+
+
+def all_marts_sql(source: str = "eligible") -> str:
+    """The rows of all three marts, named; columns that a mart lacks are null."""
+    parts = [
+        ("fact_returns_weekly", weekly_sql(source)),
+        ("fact_return_reason_weekly", reason_sql(source)),
+        ("fact_return_driver_weekly", driver_sql(source=source)),
+    ]
+    return " UNION ALL BY NAME ".join(f"SELECT '{name}' AS mart, * FROM ({sql})" for name, sql in parts)

@@ -1,6 +1,7 @@
 """Staging and mart tables, whole runs and incremental runs."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,9 @@ from parcelmart.operators import tables
 from parcelmart.operators.eligibility import eligibility_flags
 from parcelmart.operators.normalize import export_normalize
 from parcelmart.plans import mart_queries
-from parcelmart.plans.build import Layout, build_marts, check_marts, read_marts, run_quarter
+from parcelmart.plans.build import Layout, build_marts, check_marts, load_orders, read_marts, run_quarter
 from parcelmart.plans.shipments import carrier_shipments
-from parcelmart.schemas import FACT_REASON, MARTS, REASON_KEYS
+from parcelmart.schemas import EXPORT_ORDER, FACT_REASON, MARTS, REASON_KEYS
 from parcelmart.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -86,11 +87,12 @@ def test_drift_is_refused_unless_rebuilt(spark, tmp_path):
     assert current(spark, path) == [(2026, 1, "A", 3)]
 
 
-def test_large_weeks_are_rebalanced(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_ROWS_PER_TASK", 2)
+def test_many_rows_of_a_week_and_types_that_drift(spark, tmp_path):
     path = str(tmp_path / "m")
     upsert(facts(spark, *[(None, None, f"c{i}", i) for i in range(50)], (2026, 1, "A", 1)), path)
     assert len(current(spark, path)) == 51
+    with pytest.raises(tables.SchemaDrift):
+        upsert(facts(spark, (2026, 1, "A", 1)).withColumn("total_returns", F.lit("1")), path)
 
 
 def test_staging_turns_empty_texts_into_null(spark, tmp_path):
@@ -144,7 +146,8 @@ def test_quarter_edges(spark, tmp_path):
 def test_incremental_runs_equal_one_batch(spark, tmp_path):
     exports = carrier_shipments(spark, SF).filter("created_at like '%1997%' or created_at = ''")
     landing = str(tmp_path / "landing")
-    thirds = exports.randomSplit([1.0, 1.0, 1.0], seed=3)
+    part = F.pmod(F.xxhash64("tracking_no"), F.lit(3))  # an order that lands again would be replaced
+    thirds = [exports.filter(part == k) for k in range(3)]
     layout = Layout(str(tmp_path / "w"))
 
     def run(files_per_batch=1000):
@@ -164,11 +167,12 @@ def test_incremental_runs_equal_one_batch(spark, tmp_path):
     assert marts(layout) == once
 
     # A replay of the last batch changes nothing.
-    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "w/staging/orders").iterdir())
-    assert last == 2
+    loads = {int(p.name.split("=")[1]) for p in (tmp_path / "w/staging/orders").iterdir()}
+    assert loads == {1, 2, 3}
     files = sorted((tmp_path / "landing").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
-    incremental.apply_batch(layout, spark.read.parquet(str(files[-1])), last, "carrier")
+    incremental.apply_batch(layout, spark.read.parquet(str(files[-1])), 2, "carrier")
     assert marts(layout) == once
+    assert all(r.violations == 0 for r in check_marts(spark, layout).collect())
 
     whole = Layout(str(tmp_path / "one"))
     incremental.apply_batch(whole, spark.read.parquet(landing), 0, "carrier")
@@ -176,6 +180,82 @@ def test_incremental_runs_equal_one_batch(spark, tmp_path):
     assert set(once) == set(MARTS) and all(once.values())
 
 
+def orders_frame(spark, *rows):
+    """(id, day, city, status) as normalised orders of value 10."""
+    from test_marts import order
+
+    full = []
+    for i, day, city, status in rows:
+        row = list(order(i, day=day, city=city)[:20])
+        row[[f.name for f in EXPORT_ORDER.fields].index("delivery_status")] = status
+        row[[f.name for f in EXPORT_ORDER.fields].index("order_value")] = Decimal(10)
+        full.append(tuple(row))
+    return spark.createDataFrame(full, EXPORT_ORDER)
+
+
+def weekly(spark, layout):
+    rows = read_marts(spark, layout)["fact_returns_weekly"].collect()
+    return sorted(((r.year, r.week_of_year, r.city, r.total_shipments, r.total_order_value) for r in rows), key=str)
+
+
+D1, D2 = dt.date(2026, 2, 3), dt.date(2026, 3, 3)
+
+
+def test_an_order_that_lands_again_is_replaced(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    load_orders(spark, layout, orders_frame(spark, (1, D1, "A", "Delivered"), (2, D1, "A", "Delivered"), (2, D1, "A", "Delivered")), token="a")
+    assert weekly(spark, layout) == [(2026, 6, "A", 3, 30.0)]
+    # another city, a later week, cancelled, alike, and twice in one load
+    again = [(1, D1, "B", "Returned"), (2, D2, "A", "Delivered"), (3, None, "A", "Lost"), (3, None, "A", "Lost")]
+    for _ in range(2):
+        load_orders(spark, layout, orders_frame(spark, *again), token="b")
+        assert weekly(spark, layout) == [(2026, 10, "A", 1, 10.0), (2026, 6, "B", 1, 10.0), (None, None, "A", 2, 20.0)]
+    load_orders(spark, layout, orders_frame(spark, (1, D1, "B", "Cancelled"), (3, None, "A", "Lost")), token="c")
+    assert weekly(spark, layout) == [(2026, 10, "A", 1, 10.0), (None, None, "A", 1, 10.0)]
+    assert all(r.violations == 0 for r in check_marts(spark, layout).collect())
+
+
+def test_builds_and_stream_batches_share_a_layout(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    load_orders(spark, layout, orders_frame(spark, (1, D1, "A", "Delivered")), token="stream-0")
+    build_marts(spark, layout, orders_frame(spark, (2, D1, "A", "Delivered"), (3, D2, "A", "Lost")))
+    assert weekly(spark, layout) == [(2026, 10, "A", 1, 10.0), (2026, 6, "A", 2, 20.0)]
+    load_orders(spark, layout, orders_frame(spark, (4, D1, "A", "Delivered"), (2, D1, "A", "Returned")), token="stream-1")
+    assert weekly(spark, layout) == [(2026, 10, "A", 1, 10.0), (2026, 6, "A", 3, 30.0)]
+    # a load that holds the week whole drops what it does not bring
+    build_marts(spark, layout, orders_frame(spark, (4, D1, "A", "Delivered")), replace_weeks=True, weeks=[(2026, 6)])
+    assert weekly(spark, layout) == [(2026, 10, "A", 1, 10.0), (2026, 6, "A", 1, 10.0)]
+    load_orders(spark, layout, orders_frame(spark, (1, D2, "A", "Delivered")), token="stream-2")
+    assert weekly(spark, layout) == [(2026, 10, "A", 2, 20.0), (2026, 6, "A", 1, 10.0)]
+    assert all(r.violations == 0 for r in check_marts(spark, layout).collect())
+
+
+def test_orders_without_an_id_never_replace_each_other(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    rows = orders_frame(spark, (1, D1, "A", "Delivered")).withColumn("order_id", F.lit("No Value"))
+    for token in "ab":
+        load_orders(spark, layout, rows, token=token)
+    assert weekly(spark, layout) == [(2026, 6, "A", 2, 20.0)]
+
+
+def test_a_load_that_died_is_run_again(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    load_orders(spark, layout, orders_frame(spark, (1, D1, "A", "Delivered")), token="a")
+    # staged and based, but not done
+    tables.write_staging(eligibility_flags(orders_frame(spark, (1, D1, "B", "Lost"))), f"{layout.staging}/load=2")
+    load_orders(spark, layout, orders_frame(spark, (2, D1, "A", "Delivered")), token="b")
+    assert weekly(spark, layout) == [(2026, 6, "A", 2, 20.0)]
+
+
+def test_undated_orders_stay_in_the_weekly_run(spark, tmp_path):
+    layout = Layout(str(tmp_path / "w"))
+    orders = orders_frame(spark, (1, D1, "A", "Delivered"), (2, None, "A", "Delivered"))
+    for today in (D1, dt.date(2026, 5, 5)):
+        run_quarter(spark, layout, orders, today)
+        assert weekly(spark, layout) == [(2026, 6, "A", 1, 10.0), (None, None, "A", 1, 10.0)]
+        assert all(r.violations == 0 for r in check_marts(spark, layout).collect())
+
+
 def test_csv_files_can_be_streamed(spark, tmp_path):
     from parcelmart.schemas import EXPORT_FIELDS
 
