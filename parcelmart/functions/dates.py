@@ -6,6 +6,7 @@ Times are TIMESTAMP_NTZ: a wall-clock reading that no session time zone moves.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ def _parse_text(text: Column, *year_last_orders: str) -> Column:
     )
 
 
+# What a text of one of the other shapes has: a day, month or year number first, or a month name.
+_RARE = r"(?i)^(\d{1,4}[/.\s-]|\d{8}$|[a-z]{3,9}\.?\s+\d)"
+
 # Fixed value: the months by their first three letters.
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -72,8 +76,7 @@ def _named(text: Column, pattern: str, name: int, day: int) -> Column:
 
 def _with_iso_date(text: Column) -> Column:
     """Other date shapes brought to those that ``_parse_text`` reads: year first with slashes or
-    points, eight digits, English month names, years of two digits (00-68 are 20xx), AM and PM."""
-    text = F.when(text.rlike(_HALF_DAY), _of_24_hours(text)).otherwise(text)
+    points, eight digits, English month names, years of two digits (00-68 are 20xx)."""
     century = F.when(_part(text, _SHORT_YEAR, 4) <= "68", "20").otherwise("19")
     return (
         F.when(text.rlike(_YEAR_FIRST_OTHER), F.regexp_replace(text, _YEAR_FIRST_OTHER, "$1-$2-$3$4"))
@@ -96,8 +99,15 @@ def parse_ts_dayfirst(c: Column) -> Column:
     only the others are rewritten first."""
     text = strip(c.cast("string"))
     usual = _parse_text(text, _DAY_MONTH, _MONTH_DAY)
-    rare = _with_iso_date(text)
-    return F.coalesce(usual, F.when(text.isNotNull(), _parse_text(rare, _DAY_MONTH, _MONTH_DAY)))
+    # Each step stands in a function of one variable: written out, the nested texts would make
+    # code that is too large to compile.
+    rare = _bound(text, lambda t: F.when(t.rlike(_HALF_DAY), _of_24_hours(t)).otherwise(t))
+    rare = _bound(_bound(rare, _with_iso_date), lambda t: _parse_text(t, _DAY_MONTH, _MONTH_DAY))
+    return F.coalesce(usual, F.when(text.rlike(_RARE), rare))
+
+
+def _bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), function), F.lit(0))
 
 
 def parse_ts_api(c: Column) -> Column:

@@ -25,10 +25,11 @@ from parcelmart.plans.oracle_sql import (
 )
 from parcelmart.plans.registry import query
 from parcelmart.plans.shipments import api2_pages, carrier_shipments, shipments
+from parcelmart.plans.source_queries import english, english_export, with_headers, write_csv, write_titled_csv
 from parcelmart.schemas import BASE_KEYS, FACT_DRIVER, FACT_WEEKLY, SOURCE_EXPORT, WEEKLY_KEYS
 from parcelmart.session import scratch_path
 from parcelmart.sources.payloads import land_raw
-from parcelmart.streaming.incremental import apply_batch, landed_parquet, run_available
+from parcelmart.streaming.incremental import apply_batch, landed_csv, landed_parquet, run_available
 
 DRIVERS = ["service_type", "payment_method", "return_reason"]
 
@@ -252,6 +253,19 @@ def incremental_reload(spark, sf_dir):
     return all_marts(read_marts(spark, layout))
 
 
+@query(eligible_cte(carrier="'SPX'") + all_marts_sql())
+def incremental_csv(spark, sf_dir):
+    """CSV files of two languages, some with a title line and other columns, taken in by a stream."""
+    folder = scratch_path(spark, "csv_stream")
+    key = F.col(f"`{english('tracking_no')}`")
+    write_titled_csv(english_export(spark, sf_dir).filter(~F.endswith(key, F.lit("7"))), f"{folder}/landed/english")
+    local = shipments(spark, sf_dir).filter(F.endswith("tracking_no", F.lit("7")))
+    write_csv(with_headers(local, 0), f"{folder}/landed/local")
+    layout = Layout(f"{folder}/warehouse")
+    run_available(spark, landed_csv(spark, f"{folder}/landed"), layout)
+    return all_marts(read_marts(spark, layout))
+
+
 def envelopes(normalized: DataFrame) -> DataFrame:
     """One payload for each normalised order, in an envelope."""
     record = F.to_json(F.struct(*normalized.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})

@@ -257,10 +257,14 @@ def test_undated_orders_stay_in_the_weekly_run(spark, tmp_path):
 
 
 def test_csv_files_can_be_streamed(spark, tmp_path):
-    from parcelmart.schemas import EXPORT_FIELDS
+    from parcelmart.schemas import EXPORT_FIELDS, EXPORT_HEADERS
 
     rows = carrier_shipments(spark, SF).select(*EXPORT_FIELDS).filter("created_at like '%1997-03%'")
-    rows.write.csv(str(tmp_path / "landing"), header=True, quote='"', escape='"', emptyValue="")
+    options = dict(header=True, quote='"', escape='"', emptyValue="")
+    half = F.pmod(F.xxhash64("tracking_no"), F.lit(2))
+    # the columns of the second half stand in another order and under other headers
+    rows.filter(half == 0).select(*[F.col(f).alias(EXPORT_HEADERS[f][0]) for f in EXPORT_FIELDS]).write.csv(str(tmp_path / "landing/a"), **options)
+    rows.filter(half == 1).select(*[F.col(f).alias(EXPORT_HEADERS[f][-1]) for f in EXPORT_FIELDS[::-1]]).write.csv(str(tmp_path / "landing/b"), **options)
     layout = Layout(str(tmp_path / "w"))
     incremental.run_available(spark, incremental.landed_csv(spark, str(tmp_path / "landing")), layout)
     weekly = read_marts(spark, layout)["fact_returns_weekly"]
