@@ -115,17 +115,17 @@ def line_items(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame
     Line items and orders are both large, so they are merged: broadcasting one of them,
     as Spark would on small test tables, would also leave all later work to the few
     input splits of the other. Hot order or part keys are split by the adaptive skew
-    join. Only nation and region, 25 and 5 rows at any scale, are broadcast by hint."""
+    join."""
     lines = table(spark, sf_dir, "lineitem")
     if "orders" in tables:
         orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
         if "customer" in tables:
             region = table(spark, sf_dir, "region")
             nation = table(spark, sf_dir, "nation").join(
-                F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+                region, F.col("n_regionkey") == F.col("r_regionkey")
             )
             customer = table(spark, sf_dir, "customer").join(
-                F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
+                nation, F.col("c_nationkey") == F.col("n_nationkey")
             )
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         lines = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -57,6 +57,20 @@ def test_replace_weeks_drops_stale_keys(spark, tmp_path):
     assert current(spark, path) == [(2026, 1, "A", 2), (2026, 3, "A", 1)]
 
 
+def test_vacuum_keeps_what_is_read(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert tables.vacuum_mart(spark, path) == []
+    upsert(facts(spark, (2026, 1, "A", 1), (2026, 2, "A", 1)), path)
+    upsert(facts(spark, (2026, 1, "A", 2)), path)
+    assert tables.vacuum_mart(spark, path) == []
+    upsert(facts(spark, (2026, 1, "A", 3), (None, None, "A", 3)), path)
+    upsert(facts(spark, (2026, 2, "B", 4)), path)
+    before = current(spark, path)
+    assert tables.vacuum_mart(spark, path) == [1, 2] and current(spark, path) == before
+    upsert(facts(spark, (2026, 1, "A", 5)), path)
+    assert (2026, 1, "A", 5) in current(spark, path)
+
+
 def test_a_run_that_died_before_its_commit_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "m")
     upsert(facts(spark, (2026, 1, "A", 1)), path)
