@@ -1,13 +1,19 @@
 """Near-duplicate lines: an exact set-similarity join over the lines of all documents.
 
-A line is the set of its words, runs of characters other than 0x20 and 0x09-0x0D, lower-cased. Lines with
-equal sets form a class, which takes part once, with its first line. The words of a line are ordered
-by rarity, from counts over all documents; lines that are similar enough share a word within a prefix of
-that order. Pairs that meet there are dropped by the length filter, the positional filter and by
-a parity of the sets, and the rest is verified on the whole sets. A line goes when an earlier line is
-similar.
-
-Words are 64-bit hashes. The order is by id, then line number; everything is a built-in expression.
+A line's tokens are its word shingles: runs of five words, which are runs of characters other than
+0x20 and 0x09-0x0D, lower-cased; a line with fewer words is one token. Lines with equal token sets
+form a class, which takes part once, with its first line.
+
+The tokens of a line are ordered rare before common, and by hash among equals; lines that are similar
+enough share a token within a prefix of any such order. Rarity is how often a token stands in the
+prefixes by hash, counted over all lines, which is what its list of candidates would be: the tokens
+above a share of all postings are common, and the prefixes that hold one are taken anew. Pairs that
+meet are dropped by the length filter, the positional filter and by the parities of how many tokens
+fall into each of 256 parts (where they differ, a token is not shared); the rest is verified on the whole
+sets.
+A line goes when an earlier line is similar.
+
+Tokens are 64-bit hashes. The order is by id, then line number; everything is a built-in expression.
 """
 
 from __future__ import annotations
@@ -18,13 +24,12 @@ from pyspark.sql import functions as F
 from parcelmart.llm.common import written
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
-CELL_BITS = 18  # words are counted in so many hash cells
-FILTER_BITS = 20
-
-
-def _word_hashes(line: Column) -> Column:
-    words = F.filter(F.split(F.lower(line), BLANKS), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+OTHER_BLANKS = ["\t", "\x0b", "\x0c", "\r", "  "]
+COMMON_SHARE = 1 << 15  # a token is common if it has more than this part of all postings, so fewer are
+LEAST_COMMON = 64  # and more than this number of them
+CELL_BITS = 18  # size of the table of common tokens
+TOKEN_BITS = 23  # size of the filter for tokens that lines share
+FILTER_BITS = 23  # size of the filter for lines to verify
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -33,52 +38,91 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("version"), body.alias("text"))
 
 
-def _ranks(documents: DataFrame) -> bytes:
-    """The rank (0 to 127) of each cell of word hashes, low for rare words: a byte for each of a fixed
-    number of cells."""
-    spark = documents.sparkSession
-    words = documents.select(F.explode(F.split(F.lower("text"), BLANKS)).alias("word")).filter("word <> ''")
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("word"), 64 - CELL_BITS).alias("id")).count()
-    rank = F.least(F.lit(127), (4 * F.log2(F.coalesce("count", F.lit(0)) + 1)).cast("int"))
-    cells = (
-        spark.range(1 << CELL_BITS)
-        .join(counts, "id", "left")
-        .agg(F.sort_array(F.collect_list(F.struct("id", rank.alias("rank")))).alias("cells"))
-        .select(F.expr("transform(cells, c -> c.rank)").alias("ranks"))
-    )
-    return bytes(cells.first()["ranks"])
+def _pairs(left: Column, right: Column) -> Column:
+    return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
 
 
-def _lines(documents: DataFrame, ranks: bytes) -> DataFrame:
-    """(doc_id, version, line, keys) of lines with words. A key is a word's rank and 56 bits of its
-    hash in one number, so sorted keys are in order of rarity."""
-    cells = F.lit(ranks)
+def _contents(documents: DataFrame) -> DataFrame:
     lines = documents.select("doc_id", "version", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    hashed = lines.select("doc_id", "version", "line", _word_hashes(F.col("content")).alias("words"))
+    return lines.withColumn("content", F.trim("content")).filter(F.length("content") > 0)
+
+
+def _token_sets(contents: DataFrame, shingle: int) -> DataFrame:
+    """``contents`` with the sorted token hashes of each line in place of its content; lines without
+    words are left out. The hash of a shingle is made of those of its halves."""
+    content = F.col("content")
+    odd = F.lit(False)
+    for blank in OTHER_BLANKS:
+        odd = odd | F.contains(content, F.lit(blank))
+    parts = F.filter(F.split(F.lower(content), BLANKS), lambda w: w != "")
+    words = F.when(odd, parts).otherwise(F.split(F.lower(content), " "))  # most lines have single spaces only
+    rows = contents.select("doc_id", "version", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("w1")).filter(F.size("w1") > 0)
+    every = F.lit(1 << 30)
+    made, have = F.col("w1"), 1
+    while have < shingle:
+        more = min(have, shingle - have)
+        if more == have:
+            made = _pairs(made, F.slice(made, F.lit(have + 1), every))
+        else:
+            tail = F.col("w1") if more == 1 else F.col(f"w{more}")
+            made = _pairs(made, F.slice(tail, F.lit(have + 1), every))
+        have += more
+        rows = rows.withColumn(f"w{have}", made)
+        made = F.col(f"w{have}")
+    # pairs with nothing after the last word: a line of fewer words than a shingle has one of all its words
+    tokens = F.slice(made, F.lit(1), F.greatest(F.size("w1") - (shingle - 1), F.lit(1)))
+    return rows.select("doc_id", "version", "line", F.sort_array(F.array_distinct(tokens)).alias("keys"))
+
+
+def _cells(rows: DataFrame, cell: Column, value: Column, bits: int) -> DataFrame:
+    """One row with an array that has ``value`` (an aggregate) for each of a fixed number of cells."""
+    grouped = rows.groupBy(cell.alias("id")).agg(value.alias("value"))
+    return (
+        rows.sparkSession.range(1 << bits)
+        .join(grouped, "id", "left")
+        .agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("value", F.lit(0).cast("long")).alias("value")))).alias("cells"))
+        .select(F.expr("transform(cells, c -> c.value)").alias("cells"))
+    )
 
-    def key(h: Column) -> Column:
-        cell = (F.shiftrightunsigned(h, 64 - CELL_BITS) + 1).cast("int")
-        rank = F.ascii(F.substring(cells, cell, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return hashed.filter(F.size("words") > 0).select("doc_id", "version", "line", F.sort_array(F.transform("words", key)).alias("keys"))
+def _bit(hashed: Column, bits: int) -> tuple[Column, Column]:
+    """The word and the bit in it of a hash, in a table of 2**bits bits."""
+    place = F.shiftrightunsigned(hashed, 64 - bits)
+    return F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
 
 
-def _parity(keys: Column) -> Column:
-    """Bit k: whether an odd number of keys falls into part k of 64."""
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda sum_, x: sum_.bitwiseXOR(bit(x)))
+def _marks(hashes: DataFrame, bits: int, name: str) -> DataFrame:
+    """A table of bits, as one row with an array of words, in which those of ``hashes`` (h) are set."""
+    word, bit = _bit(F.col("h"), bits)
+    set_bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    return written(_cells(hashes, word, set_bits, bits - 6), name)
+
+
+def _marked(hashed: Column, marks: DataFrame, bits: int) -> Column:
+    word, bit = _bit(hashed, bits)
+    found = F.element_at(marks.scalar(), (word + 1).cast("int"))
+    return F.call_function("shiftright", found, bit).bitwiseAND(F.lit(1)) == 1
 
 
 def _similar(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
     return (100 + percent) * overlap >= percent * (n_a + n_b)
 
 
+PARITY = ["p0", "p1", "p2", "p3"]
+
+
+def _parity(keys: Column, word: int) -> Column:
+    """Bit k: whether an odd number of keys falls into part 64 * word + k of 256."""
+    own = F.filter(keys, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(3)) == word)
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(bit(x)))
+
+
 def _close(percent: int, a: str, b: str) -> Column:
     """Length and positional filter, and the bound that the parities set."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
     left = F.least(n_a - F.col(f"{a}.pos"), n_b - F.col(f"{b}.pos"))
-    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+    apart = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITY), F.lit(0))
     return (
         (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
         & _similar(percent, left, n_a, n_b)
@@ -86,98 +130,125 @@ def _close(percent: int, a: str, b: str) -> Column:
     )
 
 
+def _prefix(keys: Column, percent: int) -> Column:
+    n = F.size(keys)
+    overlap = F.floor((percent * n + 99) / 100).cast("int")  # the least with a similar set
+    return F.slice(keys, F.lit(1), n - overlap + 1)
+
+
+def _mark(key: Column, common: bytes) -> Column:
+    return F.substring(F.lit(common), (F.shiftrightunsigned(key, 64 - CELL_BITS) + 1).cast("int"), F.lit(1))
+
+
+def _common_last(keys: Column, common: bytes) -> Column:
+    """Sorted keys, with those whose cell is marked in ``common`` moved behind the others."""
+    rare = F.filter(keys, lambda k: _mark(k, common) != F.lit(b"1"))
+    return F.concat(rare, F.filter(keys, lambda k: _mark(k, common) == F.lit(b"1")))
+
+
+PLACE = ["doc_id", "version", "line"]
+
+
 class _Lines:
-    def __init__(self, docs: DataFrame, percent: int, doc_id: str, text: str):
+    def __init__(self, docs: DataFrame, percent: int, shingle: int, doc_id: str, text: str):
         if not 0 < percent <= 100:
             raise ValueError("percent must be in 1..100")
-        self.percent = percent
+        if shingle < 1:
+            raise ValueError("a shingle has at least one word")
+        self.percent, self.shingle = percent, shingle
         self.documents = _documents(docs, doc_id, text)
-        self.ranks = _ranks(self.documents)
-        n = F.size("keys")
-        shortest = F.floor((percent * n + 99) / 100).cast("int")  # the least overlap with a similar set
+        keys = F.col("keys")
         self.lines = written(
-            _lines(self.documents, self.ranks).select(
-                "doc_id",
-                "version",
-                "line",
+            _token_sets(_contents(self.documents), shingle).select(
+                *PLACE,
                 F.xxhash64("keys").alias("cls"),
-                n.alias("n"),
-                _parity(F.col("keys")).alias("parity"),
-                F.slice("keys", F.lit(1), n - shortest + 1).alias("prefix"),
+                F.size("keys").alias("n"),
+                _prefix(keys, percent).alias("prefix"),
             ),
             "lines",
         )
+        place = F.struct("doc_id", "line", "version")
+        self.classes = written(self.lines.groupBy("cls").agg(F.min(place).alias("at"), F.max(place).alias("last")), "line-classes")
+
+    def _postings(self, lines: DataFrame) -> DataFrame:
+        return lines.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+
+    def _sets(self, lines: DataFrame, name: str) -> DataFrame:
+        """(place columns, cls, keys) of ``lines`` (place columns), read from the texts; perhaps of a few
+        other lines as well, which the tables of bits cannot tell from them."""
+        here = F.xxhash64("doc_id", "version", "line")
+        marks = _marks(lines.select(here.alias("h")), FILTER_BITS, f"{name}-lines")
+        texts = _marks(lines.select(F.col("version").alias("h")), FILTER_BITS, f"{name}-texts")
+        documents = self.documents.filter(_marked(F.col("version"), texts, FILTER_BITS))
+        sets = _token_sets(_contents(documents).filter(_marked(here, marks, FILTER_BITS)), self.shingle)
+        return sets.withColumn("cls", F.xxhash64("keys"))
 
     def shared(self) -> DataFrame:
-        """(token, pos, cls, n, parity, at) of the prefix words that two classes share; ``at`` is the place
-        of the class's first line."""
-        classes = self.lines.groupBy("cls").agg(
-            F.min(F.struct("doc_id", "line", "version")).alias("at"),
-            F.first("n").alias("n"),
-            F.first("parity").alias("parity"),
-            F.first("prefix").alias("prefix"),
+        """(token, cls, n, pos, at) of the prefix tokens that two classes share; ``at`` is the place of the
+        class's first line. Tokens of one class only go by a table of bits before they are shuffled."""
+        lines = self.lines
+        counted = self._postings(lines).groupBy("token").agg(F.count("*").alias("count"), F.min("cls").alias("low"), F.max("cls").alias("high"))
+        often = written(counted.filter("low <> high").select("token", "count"), "line-tokens")
+        total = lines.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        common = often.filter(F.col("count") > max(LEAST_COMMON, total / COMMON_SHARE))
+        cell = F.shiftrightunsigned("token", 64 - CELL_BITS)
+        marked = {row["cell"] for row in common.select(cell.alias("cell")).distinct().collect()}  # fewer than COMMON_SHARE
+        hashes = often.select(F.xxhash64("token").alias("h"))
+        if marked:
+            table = bytes(ord("1") if k in marked else ord("0") for k in range(1 << CELL_BITS))
+            changed = F.exists("prefix", lambda k: _mark(k, table) == F.lit(b"1"))
+            again = written(lines.filter(changed).select(*PLACE, "cls"), "line-again")
+            anew = written(
+                self._sets(again, "line-again").join(again.select("cls").distinct(), "cls", "left_semi").select(
+                    *PLACE, "cls", F.size("keys").alias("n"), _prefix(_common_last(F.col("keys"), table), self.percent).alias("prefix")
+                ),
+                "line-anew",
+            )
+            lines = lines.filter(~changed).unionByName(anew)
+            hashes = hashes.union(self._postings(anew).select(F.xxhash64("token")))
+        postings = self._postings(lines)
+        marks = _marks(hashes, TOKEN_BITS, "line-shared")
+        met = written(
+            postings.filter(_marked(F.xxhash64("token"), marks, TOKEN_BITS))
+            .groupBy("token", "cls")
+            .agg(F.min("n").alias("n"), F.min("pos").alias("pos")),
+            "line-met",
         )
-        postings = classes.select("cls", "n", "parity", "at", F.posexplode("prefix").alias("pos", "token"))
-        often = postings.groupBy("token").count().filter("count > 1").select("token")
-        return postings.join(often, "token")
-
-    def _sets(self, ends: DataFrame) -> DataFrame:
-        """(cls, keys) of the classes in ``ends`` (cls, version)."""
-        bit = F.shiftrightunsigned("version", 64 - FILTER_BITS)
-        marks = ends.groupBy(F.shiftright(bit, 6).alias("id")).agg(
-            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
-        )
-        spark = ends.sparkSession
-        table = written(
-            spark.range(1 << (FILTER_BITS - 6))
-            .join(marks, "id", "left")
-            .agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("words"))
-            .select(F.expr("transform(words, w -> w.bits)").alias("words")),
-            "line-marks",
-        )
-        word = F.element_at(table.scalar(), (F.shiftright(bit, 6) + 1).cast("int"))
-        marked = F.call_function("shiftright", word, bit.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-        keys = _lines(self.documents.filter(marked), self.ranks).select(F.xxhash64("keys").alias("cls"), "keys")
-        return keys.join(ends.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+        several = met.groupBy("token").count().filter("count > 1").select("token")
+        return met.join(several, "token").join(self.classes.select("cls", "at"), "cls")
 
-    def _verified(self, met: DataFrame) -> DataFrame:
+    def _verified(self, met: DataFrame, sets: DataFrame) -> DataFrame:
         """Of pairs (x, y: postings) the classes x that are similar to their y."""
-        pairs = written(
-            met.select(
-                F.col("x.cls").alias("a"),
-                F.col("y.cls").alias("b"),
-                F.col("x.at.version").alias("version_a"),
-                F.col("y.at.version").alias("version_b"),
-            ).distinct(),
-            "line-pairs",
-        )
-        ends = pairs.select(F.col("a").alias("cls"), F.col("version_a").alias("version")).union(pairs.select("b", "version_b")).distinct()
-        sets = written(self._sets(written(ends, "line-ends")), "line-sets")
+        pairs = written(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "line-pairs")
         side = lambda name: sets.select(F.col("cls").alias(name), F.col("keys").alias(f"keys_{name}"))
-        overlap = F.size(F.array_intersect("keys_a", "keys_b"))
-        both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-        similar = both.filter(_similar(self.percent, overlap, F.size("keys_a"), F.size("keys_b")))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        similar = both.filter(_similar(self.percent, F.size(F.array_intersect("keys_a", "keys_b")), F.size("keys_a"), F.size("keys_b")))
         return written(similar.select(F.col("a").alias("cls")).distinct(), "line-similar")
 
     def later(self) -> DataFrame:
         """Classes whose first line has a similar line before it.
 
-        Each class is held first against the earliest class that shares one of its prefix words, which
+        Each class is held first against the earliest class that shares one of its prefix tokens, which
         settles nearly all of a group of near copies in a number of pairs that grows with the
         group; classes not settled so are then held against all earlier ones.
         """
-        shared = written(self.shared(), "line-shared")
-        earliest = shared.groupBy("token").agg(F.min(F.struct("at", "cls", "n", "pos", "parity")).alias("first")).select("token", "first.*")
+        met = written(self.shared(), "line-shared")
+        firsts = met.select("at.doc_id", "at.version", "at.line").distinct()
+        found = self._sets(firsts, "line-firsts").select("cls", "keys").dropDuplicates(["cls"])
+        parities = [_parity(F.col("keys"), k).alias(p) for k, p in enumerate(PARITY)]
+        sets = written(found.select("cls", "keys", *parities), "line-sets")
+        shared = written(met.join(sets.drop("keys"), "cls"), "line-sized")
+        earliest = shared.groupBy("token").agg(F.min(F.struct("at", "cls", "n", "pos", *PARITY)).alias("first")).select("token", "first.*")
         same, before = F.col("x.token") == F.col("y.token"), F.struct("y.at", "y.cls") < F.struct("x.at", "x.cls")
         near = _close(self.percent, "x", "y")
-        first = self._verified(shared.alias("x").join(earliest.alias("y"), same & before & near))
+        first = self._verified(shared.alias("x").join(earliest.alias("y"), same & before & near), sets)
         rest = shared.join(first, "cls", "left_anti")
-        second = self._verified(rest.alias("x").join(shared.alias("y"), same & before & near))
+        second = self._verified(rest.alias("x").join(shared.alias("y"), same & before & near), sets)
         return first.union(second)
 
 
-def repeated_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, version, line) of the lines, counted from 0, that go: those whose set of words has a
+def repeated_lines(docs: DataFrame, percent: int = 80, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, version, line) of the lines, counted from 0, that go: those whose token set has a
     Jaccard similarity of ``percent`` or more with that of an earlier line of any document.
 
     Earlier is by doc_id (null first), line number and then a hash of the text. Lines without words
@@ -185,11 +256,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", t
     and empty texts have none. Only the named columns are read; an empty table gives no rows.
     ``version`` is the hash of the text.
     """
-    lines = _Lines(docs, percent, doc_id, text)
+    lines = _Lines(docs, percent, shingle, doc_id, text)
     place = F.struct("doc_id", "line", "version")
-    copied = (
-        lines.lines.groupBy("cls").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("cls", "first")
-    )
+    copied = lines.classes.filter("at <> last").select("cls", F.col("at").alias("first"))
     later = lines.later().withColumn("later", F.lit(True))
     which = copied.join(later, "cls", "full_outer")
     return (
@@ -201,17 +270,14 @@ def repeated_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", t
     )
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = 80, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines that ``repeated_lines`` finds cut from their texts. Every row and column
     stays; a text that loses all lines is empty."""
-    gone = repeated_lines(docs, percent, doc_id, text)
+    gone = repeated_lines(docs, percent, shingle, doc_id, text)
     by_text = gone.groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set("line").alias("gone_lines"))
-    body = F.col(text).cast("string")
-    joined = docs.join(
-        by_text,
-        docs[doc_id].cast("long").eqNullSafe(by_text["gone_id"]) & (F.xxhash64(docs[text].cast("string")) == by_text["gone_version"]),
-        "left",
-    )
-    kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda _, k: ~F.array_contains("gone_lines", k)), "\n")
-    columns = [F.when(F.col("gone_lines").isNull(), body).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
-    return joined.select(*columns)
+    body = docs[text].cast("string")
+    same = docs[doc_id].cast("long").eqNullSafe(by_text["gone_id"]) & (F.xxhash64(body) == by_text["gone_version"])
+    gone_lines = by_text["gone_lines"]
+    kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda _, k: ~F.array_contains(gone_lines, k)), "\n")
+    columns = [F.when(gone_lines.isNull(), body).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
+    return docs.join(by_text, same, "left").select(*columns)
