@@ -9,7 +9,6 @@ gets the language with the highest output.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ BITS = 1 << 14
 CHUNK = 256  # texts in one matrix product
 CHUNK_BYTES = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
 _ASCII_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 
 
@@ -145,7 +143,7 @@ def _predict(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
             letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data[offsets[0] : offsets[-1]]], dtype=np.int64)])
             none = np.flatnonzero(np.diff(letters[offsets - offsets[0]]) == 0)
             for k in none:
-                if not _LETTER.search(column[int(k)].as_py()):
+                if not any(map(str.isalpha, column[int(k)].as_py())):
                     best[k], score[k] = len(languages), 0.0
             yield pa.record_batch(
                 [*batch.columns[:-1], pa.array(names[best].tolist(), pa.string()), pa.array(score)],
