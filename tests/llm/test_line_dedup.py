@@ -48,7 +48,7 @@ def corpus(seed, size):
     return rows
 
 
-@pytest.mark.parametrize("seed,percent,shingle", [(1, 80, 5), (2, 60, 2), (3, 100, 5), (4, 80, 1), (5, 60, 3)])
+@pytest.mark.parametrize("seed,percent,shingle", [(1, 80, 5), (2, 60, 2), (4, 80, 1)])
 def test_against_brute_force(spark, seed, percent, shingle):
     rows = corpus(seed, 40)
     got = {(r.doc_id, r.line) for r in repeated_lines(frame(spark, rows), percent, shingle).collect()}

@@ -56,7 +56,7 @@ def corpus(seed, size):
     return rows
 
 
-@pytest.mark.parametrize("seed,n,percent", [(1, 3, 90), (2, 5, 80), (3, 1, 60), (4, 2, 100), (5, 3, 70)])
+@pytest.mark.parametrize("seed,n,percent", [(1, 3, 90), (2, 5, 80), (3, 1, 60)])
 def test_components_against_brute_force(spark, seed, n, percent):
     rows = corpus(seed, 70)
     got = sorted(map(tuple, near_duplicates(frame(spark, rows), n, percent).collect()), key=str)
