@@ -25,11 +25,11 @@ from parcelmart.llm.common import written
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
 OTHER_BLANKS = ["\t", "\x0b", "\x0c", "\r", "  "]
-COMMON_SHARE = 1 << 15  # a token is common if it has more than this part of all postings, so fewer are
+COMMON_SHARE = 1 << 12  # a token is common if it has more than this part of all postings, so fewer are
 LEAST_COMMON = 64  # and more than this number of them
-CELL_BITS = 18  # size of the table of common tokens
+CELL_BITS = 15  # size of the table of common tokens, which stands in the plan
 TOKEN_BITS = 23  # size of the filter for tokens that lines share
-FILTER_BITS = 23  # size of the filter for lines to verify
+FILTER_BITS = 22  # size of the filter for lines to verify
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
