@@ -23,6 +23,7 @@ from parcelmart.llm.words import runs, word_hashes, word_spans
 BUCKETS = 1 << 16  # rows of the vector table for words, for byte pairs, byte triples and word pairs
 PAIR, TRIPLE, WORD_PAIR, ROWS = BUCKETS, 2 * BUCKETS, 3 * BUCKETS, 4 * BUCKETS
 ZEROS = 32
+RUN_BYTES = 1 << 19  # features take some sixty bytes for each byte of text
 SCORED = "scored text"
 
 
@@ -48,7 +49,7 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each row its key, label and distinct features with counts."""
     for batch in batches:
-        for first, end, data, offsets in runs(batch.column(2)):
+        for first, end, data, offsets in runs(batch.column(2), RUN_BYTES):
             feature, row = (np.concatenate(x) for x in zip(*_features(data, offsets), strict=True))
             key, n = np.unique(row.astype(np.int64) * ROWS + feature, return_counts=True)
             bounds = np.searchsorted(key, np.arange(end - first + 1) * ROWS)
@@ -150,18 +151,16 @@ def fit_quality(
 
 def _score(model, at: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, out, bias = model.value
-        # mean(vectors) @ out = mean(vectors @ out); with two classes the softmax needs the difference only
-        table = (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64)
+        table, bias = model.value
         for batch in batches:
             logits = np.zeros(batch.num_rows)
-            for first, end, data, offsets in runs(batch.column(at)):
+            for first, end, data, offsets in runs(batch.column(at), RUN_BYTES):
                 total, n = np.zeros(end - first), np.zeros(end - first)
                 for feature, row in _features(data, offsets):
                     total += np.bincount(row, table[feature], minlength=end - first)
                     n += np.bincount(row, minlength=end - first)
                 logits[first:end] = total / (n + ZEROS)
-            p = 1 / (1 + np.exp(-np.clip(logits + float(bias[1] - bias[0]), -500, 500)))
+            p = 1 / (1 + np.exp(-np.clip(logits + bias, -500, 500)))
             kept = [k for k, column in enumerate(batch.schema.names) if column != SCORED]
             yield pa.record_batch([*(batch.column(k) for k in kept), pa.array(p)], names=[*(batch.schema.names[k] for k in kept), name])
 
@@ -180,7 +179,10 @@ def score_quality(
     model = fit_quality(docs, labels, usable, **settings)
     if model is None:
         return docs.select(*keep, F.lit(0.5).alias(name))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
+    vectors, out, bias = model
+    # mean(vectors) @ out = mean(vectors @ out); with two classes the softmax needs the difference only
+    table = (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64)
+    sent = docs.sparkSession.sparkContext.broadcast((table, float(bias[1] - bias[0])))  # of a fixed size
     rows = docs.select(*keep)
     schema = StructType([*rows.schema, StructField(name, DoubleType())])
     if "text" in keep and rows.schema["text"].dataType == StringType():

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21  # texts are hashed in runs of about so many bytes; a longer text is a run of its own
+SLICE_BYTES = 1 << 20  # texts are hashed in runs of about so many bytes; a longer text is a run of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
