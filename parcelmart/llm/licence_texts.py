@@ -1,5 +1,7 @@
 """Public licence texts, as published, and one-line licence notices."""
 
+from pathlib import Path
+
 # Entire texts by their usual short names; copyright lines are left out, as they vary.
 LICENCE_TEXTS = {
     "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without
@@ -106,6 +108,24 @@ software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+# Entire texts as published, one file each, named by their usual short names.
+LICENCE_FILES = Path(__file__).with_name("licences")
+
+# Lines after which published texts may end.
+LAST_LINES = ["END OF TERMS AND CONDITIONS"]
+
+
+def published_texts() -> list[tuple[str, str]]:
+    """(name, text) of the known licences: those above and the files, whole and without the appendix
+    on how to apply them."""
+    rows = list(LICENCE_TEXTS.items())
+    for file in sorted(LICENCE_FILES.glob("*.txt")):
+        text = file.read_text("utf-8")
+        rows.append((file.stem, text))
+        rows += [(file.stem, text[: text.index(last) + len(last)]) for last in LAST_LINES if last in text]
+    return rows
+
+
 # Notices that stand as a line of their own, and the licence each names.
 NOTICES = {
     "Licensed under CC BY 4.0.": "CC-BY-4.0",
@@ -120,6 +140,37 @@ NOTICES = {
     "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
 }
 
+# More notices of the same kind.
+MORE_NOTICES = {
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "Licensed under CC BY 3.0.": "CC-BY-3.0",
+    "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+    "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+    "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0",
+    "Licensed under the Apache License 2.0.": "Apache-2.0",
+    "Licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+    "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+    "Licensed under the BSD License.": "BSD",
+    "Licensed under the Eclipse Public License 2.0.": "EPL-2.0",
+    "Licensed under the ISC License.": "ISC",
+    "Licensed under the Mozilla Public License 2.0.": "MPL-2.0",
+    "Licensed under the Mozilla Public License, Version 2.0.": "MPL-2.0",
+    "Licensed under the zlib License.": "Zlib",
+    "Released under CC0 1.0.": "CC0-1.0",
+    "Released under the Apache License, Version 2.0.": "Apache-2.0",
+    "Released under the ISC License.": "ISC",
+    "Released under the Unlicense.": "Unlicense",
+    "This work is dedicated to the public domain.": "public domain",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+    "This work is licensed under the GNU Free Documentation License, version 1.3.": "GFDL-1.3",
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+}
+
 # Spellings that count as equal; the left one (a regular expression on lower-case text
 # without punctuation) becomes the right one.
 SPELLINGS = {

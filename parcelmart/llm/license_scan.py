@@ -9,11 +9,13 @@ a line of their own are found in the same way, line by line. Built-in expression
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm.licence_texts import NOTICES, SPELLINGS
+from parcelmart.llm.licence_texts import MORE_NOTICES, NOTICES, SPELLINGS, published_texts
 
 # A line that states a copyright: the word or sign, then a sign, a year or a place holder for one.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(]*(?:copyright|©|\(c\))[ \t:,]*(?:©|\(c\)|[0-9]{4}|[<\[{])[^\n]*$"
@@ -27,6 +29,10 @@ STEMS = (
 )
 
 
+# One of these stands in nearly all notices.
+NOTICE_STEMS = ["licen", "domain"]
+
+
 def _java(replacement: str) -> str:
     return re.sub(r"\\([0-9])", r"$\1", replacement)
 
@@ -58,6 +64,18 @@ def _notice(line: str) -> str:
     return re.sub(r"[^\w\n]+|_+", " ", line.lower()).strip()
 
 
+def known_texts(spark: SparkSession, more: list[tuple[str, str]] = ()) -> DataFrame:
+    """The table (name, text) of the licences known here, and of those that the caller adds. A name may
+    have several texts."""
+    return spark.createDataFrame([*published_texts(), *more], "name string, text string")
+
+
+def _holding(line: Column, keys: list[str]) -> Column:
+    """A cheap test for lines that may be one of ``keys``."""
+    stems = sorted({next((s for s in NOTICE_STEMS if s in key), key) for key in keys})
+    return reduce(or_, (F.contains(line, F.lit(s)) for s in stems), F.lit(False))
+
+
 def known_digests(known: DataFrame) -> DataFrame:
     """(digest, licence) of known texts (name, text); of names with the same digest the smallest.
     Texts without a word are left out."""
@@ -70,18 +88,27 @@ def known_digests(known: DataFrame) -> DataFrame:
     )
 
 
-def scan_licences(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licences(
+    docs: DataFrame,
+    known: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    notices: dict[str, str] = NOTICES | MORE_NOTICES,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, digest of the canonical text, licence (the known text that
     the entire text is, or null) and notices (the licences that notice lines name, sorted, joined by
-    commas; '' without any).
+    commas; '' without any). ``known`` is a table such as ``known_texts``, and ``notices`` gives the
+    licence that each notice line names; callers may extend both.
 
     Null, empty and wordless texts have a null digest. Repeated rows give equal rows. Only the named
     columns are read; an empty table gives no rows, an empty ``known`` no licences.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), canonical(F.col(text).cast("string")).alias("lines"))
-    named = F.create_map(*(F.lit(x) for line, name in sorted(NOTICES.items()) for x in (_notice(line), name)))
-    longest = max(len(_notice(line)) for line in NOTICES)
-    short = F.filter(F.transform(F.split("lines", "\n", -1), lambda x: F.trim(x)), lambda x: (F.length(x) <= longest) & F.contains(x, F.lit("li")))
+    names = {_notice(line): name for line, name in sorted(notices.items())}
+    named = F.create_map(*(F.lit(x) for item in names.items() for x in item)).cast("map<string,string>")
+    longest = max(map(len, names), default=0)
+    lines = F.transform(F.split("lines", "\n", -1), lambda x: F.trim(x))
+    short = F.filter(lines, lambda x: (F.length(x) <= longest) & _holding(x, list(names)))
     found = F.array_sort(F.array_distinct(F.filter(F.transform(short, lambda x: F.element_at(named, x)), lambda x: x.isNotNull())))
     scanned = rows.select(
         "doc_id",

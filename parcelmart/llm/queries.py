@@ -12,7 +12,7 @@ from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
 from parcelmart.llm.licence_texts import LICENCE_TEXTS, NOTICES, SPELLINGS
-from parcelmart.llm.license_scan import COPYRIGHT_LINE, NO_WORD, RESERVED_LINE, scan_licences
+from parcelmart.llm.license_scan import COPYRIGHT_LINE, NO_WORD, RESERVED_LINE, known_texts, scan_licences
 from parcelmart.llm.line_dedup import repeated_lines
 from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
@@ -262,5 +262,4 @@ _NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in
 )
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digests of entire texts, the known licence each is, and the notices in it."""
-    known = spark.createDataFrame(list(LICENCE_TEXTS.items()), "name string, text string")
-    return scan_licences(table(spark, sf_dir, "documents"), known)
+    return scan_licences(table(spark, sf_dir, "documents"), known_texts(spark))

@@ -1,7 +1,7 @@
 import re
 
-from parcelmart.llm.licence_texts import LICENCE_TEXTS
-from parcelmart.llm.license_scan import scan_licences
+from parcelmart.llm.licence_texts import LICENCE_FILES, LICENCE_TEXTS, MORE_NOTICES, NOTICES
+from parcelmart.llm.license_scan import known_texts, scan_licences
 
 SCHEMA = "doc_id long, text string, digest string, licence string, name string"
 
@@ -51,3 +51,26 @@ def test_edges(spark):
 
 def test_no_python_in_the_plan(spark):
     assert not re.search("Python|Arrow|Pandas", scan(spark, [(1, "x")])._jdf.queryExecution().executedPlan().toString())
+
+
+def published(spark, rows, more=(), **options):
+    docs = spark.createDataFrame([(i, t, "a", "b", "c") for i, t in rows], SCHEMA)
+    return {r.doc_id: r for r in scan_licences(docs, known_texts(spark, more), **options).collect()}
+
+
+def test_long_texts_are_known(spark):
+    files = sorted(LICENCE_FILES.glob("*.txt"))
+    assert {"Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"} <= {f.stem for f in files}
+    got = published(spark, [(k, re.sub(r"\blicense\b", "licence", f.read_text()).replace("\n", "\r\n")) for k, f in enumerate(files)])
+    assert [got[k].licence for k in range(len(files))] == [f.stem for f in files]
+    apache = (LICENCE_FILES / "Apache-2.0.txt").read_text()
+    cut = apache[: apache.index("APPENDIX")]
+    got = published(spark, [(1, cut), (2, apache[:5000]), (3, "House rules: ask first."), (4, "use it as you like")], [("House-1", "house rules ask first")], notices=NOTICES | {"Use it as you like.": "Own"})
+    assert [got[k].licence for k in (1, 2, 3)] == ["Apache-2.0", None, "House-1"] and got[4].notices == "Own"
+
+
+def test_more_notices(spark):
+    lines = {**NOTICES, **MORE_NOTICES}
+    got = published(spark, enumerate(lines))
+    assert [got[k].notices for k in range(len(lines))] == list(lines.values())
+    assert {r.notices for r in published(spark, enumerate(lines), notices={}).values()} == {""}
