@@ -1,5 +1,6 @@
 """Public licence texts, as published, and one-line licence notices."""
 
+from functools import reduce
 from pathlib import Path
 
 # Entire texts by their usual short names; copyright lines are left out, as they vary.
@@ -108,20 +109,55 @@ software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+# Titles that usually stand above these texts.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "BSD Zero Clause License (0BSD)", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD", "0BSD License"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License",
+        "The Simplified BSD License", "The 2-Clause BSD License", "BSD License", "The BSD License", "FreeBSD License",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License",
+        "The New BSD License", "Modified BSD License", "Revised BSD License", "The 3-Clause BSD License", "BSD License", "The BSD License",
+    ],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC", "Internet Systems Consortium license"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License", "MIT License (Expat)"],
+    "Unlicense": ["The Unlicense", "Unlicense", "UNLICENSE (public domain)"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib License (Zlib)"],
+}
+
+# Passages that published copies of a text word in two ways.
+WORDINGS = {
+    "BSD-2-Clause": [[("1. ", "* "), ("2. ", "* ")]],
+    "BSD-3-Clause": [[("1. ", "* "), ("2. ", "* "), ("3. ", "* ")], [("1. ", "(1) "), ("2. ", "(2) "), ("3. ", "(3) ")]],
+    "ISC": [[("and/or distribute", "and distribute")]],
+    "MIT": [[("permission notice shall", "permission notice (including the next paragraph) shall")]],
+    "Unlicense": [[("For more information, please refer to <https://unlicense.org>", "")]],
+}
+
 # Entire texts as published, one file each, named by their usual short names.
 LICENCE_FILES = Path(__file__).with_name("licences")
 
+# First lines of published texts that copies may lack.
+TITLE_LINES = ["Boost Software License", "Creative Commons Legal Code"]
+
 # Lines after which published texts may end.
 LAST_LINES = ["END OF TERMS AND CONDITIONS"]
 
 
 def published_texts() -> list[tuple[str, str]]:
-    """(name, text) of the known licences: those above and the files, whole and without the appendix
-    on how to apply them."""
-    rows = list(LICENCE_TEXTS.items())
+    """(name, text) of the known licences: those above, in every wording with and without a title; and
+    the files, whole, without their first line and without the appendix on how to apply them."""
+    rows = []
+    for name, text in LICENCE_TEXTS.items():
+        bodies = [text]
+        for changes in WORDINGS.get(name, []):
+            bodies.append(reduce(lambda body, change: body.replace(*change), changes, text))
+        rows += [(name, f"{title}\n\n{body}") for body in bodies for title in ["", *TITLES.get(name, [])]]
     for file in sorted(LICENCE_FILES.glob("*.txt")):
-        text = file.read_text("utf-8")
+        text = file.read_text("utf-8").strip()
         rows.append((file.stem, text))
+        rows += [(file.stem, text.partition("\n")[2]) for first in TITLE_LINES if text.startswith(first)]
         rows += [(file.stem, text[: text.index(last) + len(last)]) for last in LAST_LINES if last in text]
     return rows
 

@@ -1,7 +1,7 @@
 """Licence scan: canonical digests of entire texts, looked up among known licences.
 
 Two texts are the same licence when they agree after normalising: lower case; lines that state a
-copyright dropped; everything but letters and digits taken as a blank; equivalent spellings made
+copyright or name its holder dropped; everything but letters and digits taken as a blank; equivalent spellings made
 one. The digest of the result joins with the digests of the known texts. Short notices that stand as
 a line of their own are found in the same way, line by line. Built-in expressions only.
 """
@@ -19,6 +19,12 @@ from parcelmart.llm.licence_texts import MORE_NOTICES, NOTICES, SPELLINGS, publi
 
 # A line that states a copyright: the word or sign, then a sign, a year or a place holder for one.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n(]*(?:copyright|©|\(c\))[ \t:,]*(?:©|\(c\)|[0-9]{4}|[<\[{])[^\n]*$"
+# A line that names a holder only: the word as it begins a line of its own, then a name and no word of the law.
+HOLDER_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n(]*Copyright[ \t:,]+(?:(?i:by|the)[ \t]+)?+"
+    r"(?!(?i:act|disclaimer|holder|infring|interest|law|licen|notice|office|owner|permission|protect|right|statement|treat)\p{L}*)"
+    r"(?:\p{Lu}|contributors\b|authors\b)[^\n]*$"
+)
 RESERVED_LINE = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 
@@ -39,7 +45,8 @@ def _java(replacement: str) -> str:
 
 def canonical(text: Column) -> Column:
     """The text in canonical form, line by line. Null gives null."""
-    lowered = F.lower(text)
+    unnamed = F.when(F.contains(text, F.lit("Copyright")), F.regexp_replace(text, HOLDER_LINE, "")).otherwise(text)
+    lowered = F.lower(unnamed)
     dropped = F.when(
         F.contains(lowered, F.lit("copyright")) | F.contains(lowered, F.lit("©")) | F.contains(lowered, F.lit("(c)")),
         F.regexp_replace(lowered, COPYRIGHT_LINE, ""),
@@ -61,7 +68,10 @@ def _whole(lines: Column) -> Column:
 
 
 def _notice(line: str) -> str:
-    return re.sub(r"[^\w\n]+|_+", " ", line.lower()).strip()
+    plain = re.sub(r"[^\w\n]+|_+", " ", line.lower()).strip()
+    for pattern, replacement in SPELLINGS.items():
+        plain = re.sub(pattern, replacement, plain)
+    return plain
 
 
 def known_texts(spark: SparkSession, more: list[tuple[str, str]] = ()) -> DataFrame:
@@ -106,10 +116,10 @@ def scan_licences(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), canonical(F.col(text).cast("string")).alias("lines"))
     names = {_notice(line): name for line, name in sorted(notices.items())}
     named = F.create_map(*(F.lit(x) for item in names.items() for x in item)).cast("map<string,string>")
-    longest = max(map(len, names), default=0)
+    longest = 2 * max(map(len, names), default=0)  # no spelling is twice as long as its equal
     lines = F.transform(F.split("lines", "\n", -1), lambda x: F.trim(x))
     short = F.filter(lines, lambda x: (F.length(x) <= longest) & _holding(x, list(names)))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(short, lambda x: F.element_at(named, x)), lambda x: x.isNotNull())))
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(short, lambda x: F.element_at(named, _spelled(x))), lambda x: x.isNotNull())))
     scanned = rows.select(
         "doc_id",
         _spelled(_whole(F.col("lines"))).alias("whole"),

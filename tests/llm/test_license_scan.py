@@ -74,3 +74,32 @@ def test_more_notices(spark):
     got = published(spark, enumerate(lines))
     assert [got[k].notices for k in range(len(lines))] == list(lines.values())
     assert {r.notices for r in published(spark, enumerate(lines), notices={}).values()} == {""}
+
+
+def test_published_files_with_titles_and_holders(spark):
+    mit, isc, bsd, zlib = (LICENCE_TEXTS[k] for k in ("MIT", "ISC", "BSD-3-Clause", "Zlib"))
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 X\n\n" + mit),
+        (2, "The MIT Licence (MIT)\r\n\r\nCopyright Foo Inc. and contributors\r\n\r\n" + mit),
+        (3, "ISC License\n\nCopyright (c) 2004-2010 by X\nCopyright: The X Authors\n\n" + isc),
+        (4, "BSD 3-Clause License\n\nCopyright contributors to the X project\nAll rights reserved.\n\n" + bsd),
+        (5, "zlib License\n\n(C) 1995 Someone\n\n" + zlib),
+        (6, "Some License\n\nCopyright (c) 2020 X\n\n" + mit),
+        (7, "/* Copyright Foo Inc. */\n" + bsd.replace("1. ", " * ").replace("2. ", " * ").replace("3. ", " * ")),
+        (8, (LICENCE_FILES / "CC0-1.0.txt").read_text().replace("Creative Commons Legal Code", "")),
+    ]
+    got = published(spark, rows)
+    assert [got[k].licence for k in range(1, 9)] == ["MIT", "MIT", "ISC", "BSD-3-Clause", "Zlib", None, "BSD-3-Clause", "CC0-1.0"]
+
+
+def test_lines_of_the_law_are_no_holder_lines(spark):
+    kept = ["Copyright License grants", "Copyright Holder means", "Copyright and Related Rights", "COPYRIGHT HOLDERS BE LIABLE", "copyright x", "A Copyright Foo Inc."]
+    got = published(spark, [(0, "x")] + [(k, line + "\nx") for k, line in enumerate(kept, 1)])
+    assert len({r.digest for r in got.values()}) == len(kept) + 1
+
+
+def test_notices_in_other_spellings(spark):
+    rows = [(1, "Released under the MIT Licence."), (2, "Licensed under the Apache Licence, Version 2.0."), (3, "it is Released under the MIT Licence.")]
+    got = published(spark, rows, notices=NOTICES | {"Under the House Offence Licence.": "House"})
+    assert [got[k].notices for k in (1, 2, 3)] == ["MIT", "Apache-2.0", ""]
+    assert published(spark, [(1, "under the house offense license")], notices={"Under the House Offence Licence.": "House"})[1].notices == "House"
