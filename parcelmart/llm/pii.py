@@ -4,8 +4,9 @@ The entities are the e-mail addresses, IP addresses, card and phone numbers that
 find; a context is a line. Over the lines of the whole corpus, a term ``t`` that stands in lines
 with an entity ``e`` reveals the share ``PMI(e, t) / IC(e)`` of the entity's information, where
 ``PMI = log(N c(e,t) / (c(e) c(t)))`` and ``IC = log(N / c(e))``. A term at or above the
-disclosure threshold, seen with the entity in at least two different lines, is marked in every
-line that holds both, and is generalised to a label or removed with the base spans.
+disclosure threshold, seen with the entity in two different lines or in at least ``min_support``
+lines with copies, is marked in every line that holds both, and is generalised to a label or
+removed with the base spans.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ _DIGIT = re.compile("[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+# Lines, copies counted, in which a term must stand with an entity if all of them are copies of one.
+MIN_SUPPORT = 11
+
 # A term is a run of ASCII letters and digits and of all characters beyond ASCII.
 _NO_TERM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -198,19 +202,22 @@ def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def find_spans(docs: DataFrame, disclosure: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find_spans(
+    docs: DataFrame, disclosure: float = 0.8, doc_id: str = "doc_id", text: str = "text", min_support: int = MIN_SUPPORT
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base (the base spans as
     kind:start:end, by kind and start), added (the spans of revealing terms, likewise).
 
-    Null and empty texts hold nothing. Repeated rows are found alike, and give a term no support:
-    it must stand with the entity in two different lines. Ids may be null or repeat. Only the named
+    Null and empty texts hold nothing. Repeated rows are found alike. A term has support if it stands
+    with the entity in two different lines, or in ``min_support`` lines, copies counted; with a
+    ``min_support`` of 1 the disclosure alone decides. Ids may be null or repeat. Only the named
     columns are read. Corpus counts are taken over all lines of all rows; an empty table gives no
     rows. Counts of hot terms and entities are summed before they are shuffled.
     """
-    return _spans_of(_numbered(docs, doc_id, text), disclosure).drop("row")
+    return _spans_of(_numbered(docs, doc_id, text), disclosure, min_support).drop("row")
 
 
-def _spans_of(rows: DataFrame, disclosure: float) -> DataFrame:
+def _spans_of(rows: DataFrame, disclosure: float, min_support: int) -> DataFrame:
     found = written(mapped(rows, _detect, FOUND), "pii-found")
     corpus = written(
         rows.select("text")
@@ -224,7 +231,7 @@ def _spans_of(rows: DataFrame, disclosure: float) -> DataFrame:
     joint = (
         beside.groupBy("entity", "term")
         .agg(F.sum("fresh").alias("both"), F.min("line").alias("one"), F.max("line").alias("other"))
-        .filter("one <> other")
+        .filter((F.col("one") != F.col("other")) | (F.col("both") >= min_support))
         .select("entity", "term", "both")
     )
     alone = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_lines"))
@@ -276,12 +283,17 @@ def _redact(remove: bool):
 
 
 def sanitise(
-    docs: DataFrame, remove: bool = False, disclosure: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    remove: bool = False,
+    disclosure: float = 0.8,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_support: int = MIN_SUPPORT,
 ) -> DataFrame:
     """doc_id and text with every span generalised to its kind in brackets, or removed. Overlapping
     spans count as one; null texts stay null."""
     rows = written(_numbered(docs, doc_id, text), "pii-texts")
-    spans = _spans_of(rows, disclosure).select("row", all_spans().alias("spans"))
+    spans = _spans_of(rows, disclosure, min_support).select("row", all_spans().alias("spans"))
     return (
         rows.join(spans.filter("spans <> ''"), "row", "left")
         .select("doc_id", "text", "spans")

@@ -74,3 +74,13 @@ def test_edges(spark):
     assert find_spans(frame(spark, [])).collect() == []
     spans = find_spans(frame(spark, rows)).select(all_spans().alias("s"))
     assert sorted(r.s for r in spans.collect()) == sorted(w[-1] for w in want)
+
+
+def test_many_copies_of_a_line_are_support(spark):
+    line = "the Zanzibar office writes to kim@corp.example today"
+    rows = [r for r in corpus() if r[0] < 100] + [(k, line) for k in range(100, 130)]
+    got = {r.doc_id: [line[int(s.split(":")[1]) : int(s.split(":")[2])] for s in r.added.split(",") if s] for r in find_spans(frame(spark, rows)).collect()}
+    assert got.pop(100) == ["Zanzibar", "office", "writes", "to", "today"] and not any(got[k] for k in range(60))
+    few = rows[:61]
+    assert all(r.added == "" for r in find_spans(frame(spark, few)).collect())
+    assert "term" in next(r.added for r in find_spans(frame(spark, few), min_support=1).collect() if r.doc_id == 100)
