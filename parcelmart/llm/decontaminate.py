@@ -102,11 +102,12 @@ def _search(block, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Ite
             yield pa.record_batch(
                 [
                     batch.column(0).take(pa.array(found["doc"], pa.int64())),
+                    batch.column(2).take(pa.array(found["doc"], pa.int64())),
                     pa.array(found["item"], pa.int64()),
                     pa.array(found["size"], pa.int64()),
                     pa.array(found["shared"], pa.int64()),
                 ],
-                names=["doc_id", "item_id", "n_shingles", "n_shared"],
+                names=["doc_id", "version", "item_id", "n_shingles", "n_shared"],
             )
 
     return find
@@ -134,6 +135,28 @@ def find_leaks(
     and items give one row, with the largest containment where texts under one id differ. Only the
     named columns are read, so others may have any name. Empty tables give no rows.
     """
+    return (
+        _leaks(docs, items, shingle, threshold, block_shingles, doc_id, text, item_id, item_text)
+        .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+        .groupBy("doc_id", "item_id")
+        .agg(F.max(F.struct("containment", "n_shingles", "n_shared")).alias("best"))
+        .select("doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment")
+    )
+
+
+def _leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    shingle: int = 5,
+    threshold: float = 0.8,
+    block_shingles: int = 2_000_000,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """(doc_id, version, item_id, n_shingles, n_shared) of every row that leaks an item; ``version`` is
+    the hash of its text."""
     spark = docs.sparkSession
     sets = written(
         items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
@@ -143,24 +166,21 @@ def find_leaks(
     )
     total = sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
     blocks = max(1, ceil(total / block_shingles))
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = spark.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_shared long")
+    body = F.col(text).cast("string")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("version"))
+    found = spark.createDataFrame([], "doc_id long, version long, item_id long, n_shingles long, n_shared long")
     for number in range(blocks):
         own = sets.filter(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == number).collect()
         if own:
             index = spark.sparkContext.broadcast(_Block(own, threshold))
             found = found.union(mapped(texts, _search(index, threshold), found.schema))
-    return (
-        found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct("containment", "n_shingles", "n_shared")).alias("best"))
-        .select("doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment")
-    )
+    return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that leak no item. A document without an id stays unless another without an
-    id leaks; its rows cannot be told apart."""
-    leaks = find_leaks(docs, items, **options).select("doc_id").distinct().withColumnRenamed("doc_id", "leaked")
-    name = options.get("doc_id", "doc_id")
-    return docs.join(leaks, docs[name].eqNullSafe(leaks["leaked"]), "left_anti")
+    """The rows whose own text leaks no item, whatever other rows share their id or have none."""
+    name, text = options.get("doc_id", "doc_id"), options.get("text", "text")
+    leaks = _leaks(docs, items, **options).select(F.col("doc_id").alias("leaked"), F.col("version").alias("leaked_version")).distinct()
+    version = F.xxhash64(docs[text].cast("string"))
+    same = docs[name].cast("long").eqNullSafe(leaks["leaked"]) & (version == leaks["leaked_version"])
+    return docs.join(leaks, same, "left_anti")

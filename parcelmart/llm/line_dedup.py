@@ -18,7 +18,7 @@ Tokens are 64-bit hashes. The order is by id, then line number; everything is a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmart.llm.common import written
@@ -32,6 +32,27 @@ TOKEN_BITS = 23  # size of the filter for tokens that lines share
 FILTER_BITS = 22  # size of the filter for lines to verify
 
 
+WORDED = "[^\\x20\\x09-\\x0D]"
+COPY = "further copy of a document without an id"
+
+
+def with_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with a column COPY. Rows without an id are documents of their own, so of those with equal
+    texts all but one are further copies, whose lines with words all repeat those of the first."""
+    unnamed = F.col(doc_id).cast("long").isNull()
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    alike = Window.partitionBy(F.xxhash64(F.col(text).cast("string"))).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in plain)))
+    return docs.filter(~unnamed).withColumn(COPY, F.lit(False)).unionByName(
+        docs.filter(unnamed).withColumn(COPY, F.row_number().over(alike) > 1)
+    )
+
+
+def worded_lines(text: Column) -> Column:
+    """The numbers of the lines that hold a word."""
+    numbers = F.transform(F.split(text, "\n", -1), lambda x, k: F.when(x.rlike(WORDED), k))
+    return F.filter(numbers, lambda k: k.isNotNull())
+
+
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Id, text and a hash of the text; rows with the same id and text are one document."""
     body = F.col(text).cast("string")
@@ -252,8 +273,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80, shingle: int = 5, doc_id:
     Jaccard similarity of ``percent`` or more with that of an earlier line of any document.
 
     Earlier is by doc_id (null first), line number and then a hash of the text. Lines without words
-    stay. Rows with the same id and text are one document, so repeated rows lose the same lines; null
-    and empty texts have none. Only the named columns are read; an empty table gives no rows.
+    stay. Rows with the same id and text are one document, so repeated rows lose the same lines; rows
+    without an id are documents of their own, and the lines given for them are those of the first of
+    each text (``with_copies`` tells which rows are further copies). Null and empty texts have none. Only the named columns are read; an empty table gives no rows.
     ``version`` is the hash of the text.
     """
     lines = _Lines(docs, percent, shingle, doc_id, text)
@@ -274,10 +296,12 @@ def dedup_lines(docs: DataFrame, percent: int = 80, shingle: int = 5, doc_id: st
     """``docs`` with the lines that ``repeated_lines`` finds cut from their texts. Every row and column
     stays; a text that loses all lines is empty."""
     gone = repeated_lines(docs, percent, shingle, doc_id, text)
+    rows = with_copies(docs, doc_id, text)
     by_text = gone.groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set("line").alias("gone_lines"))
-    body = docs[text].cast("string")
-    same = docs[doc_id].cast("long").eqNullSafe(by_text["gone_id"]) & (F.xxhash64(body) == by_text["gone_version"])
+    body = rows[text].cast("string")
+    same = rows[doc_id].cast("long").eqNullSafe(by_text["gone_id"]) & (F.xxhash64(body) == by_text["gone_version"])
     gone_lines = by_text["gone_lines"]
     kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda _, k: ~F.array_contains(gone_lines, k)), "\n")
-    columns = [F.when(gone_lines.isNull(), body).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
-    return docs.join(by_text, same, "left").select(*columns)
+    wordless = F.array_join(F.filter(F.split(body, "\n", -1), lambda x: ~x.rlike(WORDED)), "\n")
+    cut = F.when(rows[COPY], wordless).when(gone_lines.isNull(), body).otherwise(kept)
+    return rows.join(by_text, same, "left").select(*(cut.alias(text) if c == text else rows[c] for c in docs.columns))

@@ -13,7 +13,7 @@ from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
 from parcelmart.llm.licence_texts import LICENCE_TEXTS, NOTICES, SPELLINGS
 from parcelmart.llm.license_scan import COPYRIGHT_LINE, NO_WORD, RESERVED_LINE, known_texts, scan_licences
-from parcelmart.llm.line_dedup import repeated_lines
+from parcelmart.llm.line_dedup import COPY, repeated_lines, with_copies, worded_lines
 from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
 from parcelmart.llm.pii import all_spans, find_spans
@@ -230,12 +230,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = (
         repeated_lines(docs)
         .groupBy("doc_id", "version")
-        .agg(F.count("*").alias("n_removed"), F.array_join(F.sort_array(F.collect_list("line")), ",").alias("removed"))
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
-    every = docs.select("doc_id", F.xxhash64("text").alias("version"))
+    every = with_copies(docs).select("doc_id", F.xxhash64("text").alias("version"), F.when(F.col(COPY), worded_lines(F.col("text"))).alias("all_lines"))
     met = every["doc_id"].eqNullSafe(gone["doc_id"]) & (every["version"] == gone["version"])
+    removed = F.coalesce("all_lines", "lines", F.array().cast("array<int>"))
     return every.join(gone, met, "left").select(
-        every["doc_id"], F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed")
+        every["doc_id"], F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed")
     )
 
 

@@ -73,3 +73,10 @@ def test_documents_without_leaks_stay(spark):
     bad = {d for d, *_ in brute(docs, items, 5, 0.8)}
     assert bad and sorted(r.doc_id for r in got.collect()) == [i for i, _ in docs if i not in bad]
     assert got.columns == ["doc_id", "text", "item_id", "n_shared"]
+
+
+def test_only_rows_whose_own_text_leaks_go(spark):
+    leak, clean = "one two three four five six", "nothing of the kind is in here"
+    docs = [(None, leak), (None, clean), (None, None), (7, leak), (7, clean), (7, None), (8, clean)]
+    got = without_leaks(spark.createDataFrame([(i, t, "x", 1) for i, t in docs], DOCS), spark.createDataFrame([(1, leak, "y")], ITEMS))
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(((i, t) for i, t in docs if t != leak), key=str)

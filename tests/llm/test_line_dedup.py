@@ -79,3 +79,11 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     df = dedup_lines(frame(spark, EDGES))
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    text = "one two three\n\nfour five"
+    rows = [(None, text), (None, text), (None, text), (None, "other words"), (None, None), (None, None), (1, "four five\nsix"), (1, "four five\nsix")]
+    got = sorted(((r.doc_id, r.text) for r in dedup_lines(frame(spark, rows)).collect()), key=str)
+    want = [(None, text), (None, ""), (None, ""), (None, "other words"), (None, None), (None, None), (1, "six"), (1, "six")]
+    assert got == sorted(want, key=str)
