@@ -284,3 +284,23 @@ def test_csv_files_can_be_streamed(spark, tmp_path):
     weekly = read_marts(spark, layout)["fact_returns_weekly"]
     eligible = mart_queries.eligible_exports(rows).count()
     assert weekly.agg(F.sum("total_shipments")).first()[0] == eligible > 0
+
+
+def test_csv_files_of_any_suffix_are_streamed(spark, tmp_path):
+    from parcelmart.schemas import EXPORT_FIELDS, EXPORT_HEADERS
+
+    rows = carrier_shipments(spark, SF).select(*EXPORT_FIELDS).filter("created_at like '%1997-03%'")
+    third = F.pmod(F.xxhash64("tracking_no"), F.lit(3))
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for k, name in enumerate(["a b.csv", "UPPER.CSV", "nosuffix"]):
+        part = rows.filter(third == k).select(*[F.col(f).alias(EXPORT_HEADERS[f][0]) for f in EXPORT_FIELDS])
+        part.coalesce(1).write.csv(str(tmp_path / f"part{k}"), header=True, quote='"', escape='"', emptyValue="")
+        (landing / name).write_bytes(next((tmp_path / f"part{k}").glob("*.csv")).read_bytes())
+    layout = Layout(str(tmp_path / "w"))
+    incremental.run_available(spark, incremental.landed_csv(spark, str(landing)), layout)
+    weekly = read_marts(spark, layout)["fact_returns_weekly"]
+    assert weekly.agg(F.sum("total_shipments")).first()[0] == mart_queries.eligible_exports(rows).count() > 0
+    (landing / "page.csv").write_text("<!doctype html><p>a,b</p>")
+    with pytest.raises(Exception, match=r"no CSV: .*page\.csv \(html\)"):
+        incremental.run_available(spark, incremental.landed_csv(spark, str(landing)), layout)
