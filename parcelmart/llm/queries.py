@@ -18,6 +18,7 @@ from parcelmart.llm.ngram_join import near_duplicates
 from parcelmart.llm.pieces import encode_texts
 from parcelmart.llm.pii import all_spans, find_spans
 from parcelmart.llm.quality import remainder, score_quality
+from parcelmart.llm.sharding import assign_shards
 from parcelmart.llm.warc import read_records, write_archives
 from parcelmart.session import scratch_path
 
@@ -264,3 +265,37 @@ _NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digests of entire texts, the known licence each is, and the notices in it."""
     return scan_licences(table(spark, sf_dir, "documents"), known_texts(spark))
+
+
+#: CRC-32 in SQL: its table by the shifts of each byte, then a fold over the bytes of the text.
+_CRC = """
+    crc_table AS (SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS b)))"""
+_CRC_OF = """xor(list_reduce([4294967295] || [CAST('0x' || substr(hex(encode(text)), 2 * i + 1, 2) AS BIGINT) for i in range(CAST(strlen(text) AS BIGINT))],
+                           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE {_CRC},
+    doc AS (SELECT doc_id, strlen(text) + 1 AS size, sha256(text) AS key, {_CRC_OF} AS crc
+            FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents), crc_table),
+    kind AS (SELECT row_number() OVER (ORDER BY bytes DESC, key) AS k, key, CAST(bytes AS BIGINT) AS bytes
+             FROM (SELECT key, sum(size) AS bytes FROM doc GROUP BY 1)),
+    deal AS (
+        SELECT CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS shard, [CAST(0 AS BIGINT) for i in range(8)] AS loads
+        UNION ALL
+        SELECT d.k + 1, list_position(loads, list_min(loads)) - 1,
+               [loads[i] + CASE WHEN i = list_position(loads, list_min(loads)) THEN bytes ELSE 0 END for i in range(1, 9)]
+        FROM deal d JOIN kind ON kind.k = d.k + 1)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+           CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM doc JOIN kind USING (key) JOIN deal USING (k)
+    """
+)
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes, equal texts together."""
+    assigned = assign_shards(table(spark, sf_dir, "documents"), 8)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return assigned.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
