@@ -59,9 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session. Call it when none of the DataFrames that
     the registered queries gave is needed any more."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, run_folder(spark))
