@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
+from parcelmart.llm.filter_audit import audit_documents
 from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
 from parcelmart.llm.licence_texts import LICENCE_TEXTS, NOTICES, SPELLINGS
@@ -299,3 +300,38 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = assign_shards(table(spark, sf_dir, "documents"), 8)
     none = F.lit(None).cast("int").alias("grown_shard")
     return assigned.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
+@query(
+    """
+    WITH text AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    doc AS (
+        SELECT part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+               + 4 * CAST(100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) AS INT) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+               + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS fails,
+               coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+               coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+        FROM text),
+    cell AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM doc GROUP BY 1, 2),
+    f AS (SELECT chr(65 + k) AS name, 1 << k AS bit FROM (SELECT CAST(unnest(range(5)) AS INT) AS k)),
+    ord AS (SELECT [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits, a.name || b.name || c.name || d.name || e.name AS filter_order
+            FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.name, b.name, c.name, d.name, e.name])) = 5),
+    step AS (SELECT filter_order, k AS step, bits[k] AS bit, coalesce(list_sum(bits[1:k - 1]), 0) AS before FROM ord, (SELECT unnest(range(1, 6)) AS k)),
+    counted AS (
+        SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0) AS kept,
+               coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS removed,
+               coalesce(sum(n) FILTER (fails & before <> 0 AND fails & bit <> 0), 0) AS redundant,
+               coalesce(sum(n) FILTER (fails = bit), 0) AS unique_fails,
+               coalesce(sum(n_good) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS good_lost,
+               coalesce(sum(n_toxic) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS toxic_lost
+        FROM step, cell GROUP BY part, filter_order, step, bit)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM counted
+    """
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in every order, by language."""
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

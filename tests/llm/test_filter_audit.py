@@ -1,0 +1,99 @@
+import random
+import re
+from itertools import permutations
+from math import factorial
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelmart.llm.filter_audit import audit, audit_documents
+
+DOCS = "doc_id long, id string, text string, part string, lang string, n_chars long, prefix int, kind string"
+LABELS = "doc_id long, quality int, toxic int, text string"
+COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, "i", t, "p", lang, 3, 4, "k") for i, t, lang in rows], DOCS)
+
+
+def fails(rows):
+    """The filters that each row fails."""
+    out = []
+    for i, text, _ in rows:
+        t = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        smaller = any(i is not None and j is not None and j < i and (u or "") == t for j, u, _ in rows)
+        out.append(
+            {f for f, bad in zip("ABCDE", [len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * len(re.findall("[A-Z]", t)) > 3 * len(t), re.search("[#$%&*|]", t), smaller], strict=True) if bad}
+        )
+    return out
+
+
+def brute(rows, labels):
+    """Each order applied to the rows one filter after another."""
+    bad, out = fails(rows), []
+    good, toxic = {i for i, q, _, _ in labels if q == 1}, {i for i, _, x, _ in labels if x == 1}
+    for part in {lang or "" for _, _, lang in rows}:
+        here = [k for k, r in enumerate(rows) if (r[2] or "") == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = set(here)
+            for step, f in enumerate(order):
+                gone = {k for k in left if f in bad[k]}
+                redundant = [k for k in here if f in bad[k] and k not in left]
+                left -= gone
+                shapley[f] += len(gone)
+                lost = [rows[k][0] for k in gone if rows[k][0] is not None]
+                out.append([part, "".join(order), step + 1, len(left), len(gone), len(redundant), sum(bad[k] == {f} for k in here), sum(i in good for i in lost), sum(i in toxic for i in lost), f])
+        for row in out:
+            if row[0] == part:
+                row[-1] = shapley[row[-1]]
+    return sorted(map(tuple, out))
+
+
+def result(df):
+    assert df.columns == COLUMNS
+    return sorted(tuple(r) for r in df.collect())
+
+
+def random_rows(seed, n=90):
+    r = random.Random(seed)
+
+    def text():
+        many = r.choice([0, 5, 230])
+        words = [r.choice(["alpha", "be ta", "Gamma"]) + (str(r.random()) if r.random() < 0.7 else "") for _ in range(many)]
+        return r.choice([" ", "\n", "\t \x0b"]).join(words) + r.choice(["", "", " #", " ABC", "é\x85"])
+
+    texts = [None, "", *[text() for _ in range(n // 2)]]
+    rows = [(k, r.choice(texts), r.choice(["en", "de", "", None])) for k in range(n)]
+    rows += [(None, "same", "en"), (None, "same", "en"), (3, "same", "en"), (3, "same", None), (4, "same", "de")]
+    labels = [(r.randrange(n), r.choice([0, 1, None]), r.choice([0, 1, None]), "t") for _ in range(n)] + [(None, 1, 1, "t"), (3, 1, 1, "t"), (3, 1, 0, "t"), (10**6, 1, 1, "t")]
+    return rows, labels
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_order_against_brute_force(spark, seed):
+    rows, labels = random_rows(seed)
+    got = result(audit_documents(frame(spark, rows), spark.createDataFrame(labels, LABELS)))
+    assert got == brute(rows, labels)
+
+
+def test_edges(spark):
+    none = spark.createDataFrame([], LABELS)
+    assert result(audit_documents(frame(spark, []), none)) == []
+    rows = [(1, "word " * 100_000 + "#", None), (2, None, "en")]
+    assert result(audit_documents(frame(spark, rows), none)) == brute(rows, [])
+
+
+def test_other_filters_and_no_shuffle_in_joins(spark):
+    rows = spark.range(1000).select("id", F.lit("all").alias("part"))
+    names = {"x": 2, "y": 3, "z": 5}
+    ids = {f: rows.filter(F.col("id") % n == 0) for f, n in names.items()}
+    got = audit(rows, ids, {"odd": rows.filter("id % 2 = 1")}).collect()
+    assert len(got) == factorial(3) * 3
+    last = {r.filter_order: r for r in got if r.step == 3}
+    assert last["xyz"].kept == sum(all(i % n for n in names.values()) for i in range(1000))
+    assert last["xyz"].removed == sum(i % 2 and i % 3 and not i % 5 for i in range(1000)) == last["xyz"].odd_lost == last["yxz"].unique_fails
+    assert last["xyz"].redundant == 200 - last["xyz"].removed
+    assert spark.sql("SHOW TABLES LIKE 'parcelmart_*'").count() == 0
