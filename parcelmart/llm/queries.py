@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelmart.llm.centroids import cluster_vectors, inertias
 from parcelmart.llm.common import table
 from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.filter_audit import audit_documents
@@ -335,3 +336,45 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove from all documents in every order, by language."""
     return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _sql_clustering() -> str:
+    """Three rounds and the last assignment of op13 in DuckDB's terms."""
+    near = """list_sum([(vector[i] - centroid[i]) * (vector[i] - centroid[i]) for i in range(1, 65)])"""
+    parts = [
+        """kept AS MATERIALIZED (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vector FROM embeddings
+        WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)""",
+        """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, vector) - 1 AS cluster, vector AS centroid
+        FROM (SELECT *, sha256('1:' || vec_id) AS h FROM kept ORDER BY h, vector LIMIT 16))""",
+    ]
+    for k in range(4):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (SELECT vec_id, vector, near[2] AS cluster, near[1] AS distance FROM (
+        SELECT vec_id, vector, min([{near}, cluster]) AS near FROM (SELECT row_number() OVER () AS r, * FROM kept), c{k} GROUP BY r, vec_id, vector))"""
+        )
+        if k < 3:
+            parts.append(
+                f"""c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(moved, centroid) AS centroid FROM c{k} LEFT JOIN (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM (
+            SELECT cluster, i, CAST(sum(vector[i]) AS BIGINT) AS s, count(*) AS n FROM a{k}, (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i)
+        GROUP BY cluster) USING (cluster))"""
+            )
+    return "WITH " + ",\n    ".join(parts)
+
+
+@query(
+    f"""
+    {_sql_clustering()}
+    SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+           CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(centroid, ',')) AS centroid_sha256
+    FROM a3 JOIN c3 USING (cluster)
+    """
+)
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings around sixteen integer centroids, after three rounds."""
+    clusters = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join("centroid", ","), 256)
+    each = inertias(clusters).select("cluster", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+    joined = clusters.rows.join(F.broadcast(each), "cluster")  # a row per centroid
+    return joined.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
