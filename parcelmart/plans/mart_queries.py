@@ -13,8 +13,9 @@ from parcelmart.operators.eligibility import add_week_keys, eligible_exports
 from parcelmart.operators.normalize import bucket_services, export_normalize
 from parcelmart.operators.quality import mart_quality as check_marts
 from parcelmart.operators.tables import read_mart_or_empty, upsert_mart
-from parcelmart.plans.build import Layout, all_marts, build_marts, marts_from, read_marts, run_quarter
+from parcelmart.plans.build import all_marts, build_marts, run_quarter
 from parcelmart.plans.build import raw_to_marts as take_raw
+from parcelmart.plans.loads import Layout, read_marts
 from parcelmart.plans.oracle_sql import (
     GROUP,
     all_marts_sql,
@@ -209,7 +210,7 @@ def mart_quality(spark, sf_dir):
     rows = spark.read.schema(rows.schema).parquet(f"{path}/orders")
     base = marts.weekly_base(rows)
     base.write.parquet(f"{path}/base")
-    built = marts_from(spark.read.schema(base.schema).parquet(f"{path}/base"))
+    built = marts.marts_from(spark.read.schema(base.schema).parquet(f"{path}/base"))
     for name, mart in built.items():
         mart.write.parquet(f"{path}/{name}")
     written = [spark.read.schema(mart.schema).parquet(f"{path}/{name}") for name, mart in built.items()]

@@ -66,6 +66,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session. Call it when none of the DataFrames that
     the registered queries gave is needed any more."""

@@ -10,7 +10,8 @@ from parcelmart.operators import tables
 from parcelmart.operators.eligibility import eligibility_flags
 from parcelmart.operators.normalize import export_normalize
 from parcelmart.plans import mart_queries
-from parcelmart.plans.build import Layout, build_marts, check_marts, load_orders, read_marts, run_quarter
+from parcelmart.plans.build import build_marts, run_quarter
+from parcelmart.plans.loads import Layout, check_marts, load_orders, read_marts
 from parcelmart.plans.shipments import carrier_shipments
 from parcelmart.schemas import EXPORT_ORDER, FACT_REASON, MARTS, REASON_KEYS
 from parcelmart.streaming import incremental
