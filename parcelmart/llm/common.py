@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.session import scratch_path
@@ -36,3 +38,11 @@ def mapped(df: DataFrame, function, schema) -> DataFrame:
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return df.mapInArrow(function, schema)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver give back what earlier steps planned with. Each step leaves plans, closures and
+    broadcasts behind as garbage, which a driver heap takes in up to its limit before it collects any, and
+    Spark's cleaner drops the broadcasts and shuffle files of a step only when it is collected."""
+    gc.collect()  # references that Python holds to plans
+    spark.sparkContext._jvm.System.gc()

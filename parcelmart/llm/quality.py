@@ -102,6 +102,9 @@ def train(
     return vectors, out, bias
 
 
+SIZE = 16  # components of a vector
+
+
 def _fit(settings: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -122,10 +125,10 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 4000, size: int = 16, epochs: int = 8, rate: float = 1.0
-) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """The model fitted on at most ``sample`` of the labelled documents that are ``usable``, those
-    with the smallest hash of their id. None without any. Labels other than 0 and 1 and labels of
+    docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 4000, size: int = SIZE, epochs: int = 8, rate: float = 1.0
+) -> DataFrame:
+    """The model (vectors, out, bias: float32 bytes) fitted on at most ``sample`` of the labelled documents that
+    are ``usable``, those with the smallest hash of their id; no row without any. Labels other than 0 and 1 and labels of
     ids that no document has are left out; an id with both labels is an example of both."""
     wanted = (
         labels.select(F.col("doc_id").cast("long").alias("key"), F.col("quality").cast("int").alias("label"))
@@ -142,11 +145,24 @@ def fit_quality(
         .mapInArrow(_counted, "key long, label int, ids binary, counts binary")
     )
     settings = {"size": size, "epochs": epochs, "rate": rate}
-    model = examples.repartition(1).mapInArrow(_fit(settings), "vectors binary, out binary, bias binary").first()
-    if model is None:
-        return None
-    vectors, out, bias = (np.frombuffer(x, np.float32) for x in model)
-    return vectors.reshape(ROWS, size), out.reshape(size, 2), bias
+    return examples.repartition(1).mapInArrow(_fit(settings), "vectors binary, out binary, bias binary")
+
+
+def _projected(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """mean(vectors) @ out = mean(vectors @ out), and with two classes the softmax needs the difference only:
+    one number per feature is all that scoring takes."""
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                vectors, out, bias = (np.frombuffer(x, np.float32) for x in row)
+                vectors, out = vectors.reshape(ROWS, size), out.reshape(size, 2)
+                table = vectors @ (out[:, 1] - out[:, 0])
+                yield pa.record_batch(
+                    [pa.array([table.tobytes()], pa.binary()), pa.array([float(bias[1] - bias[0])])], names=["weights", "bias"]
+                )
+
+    return project
 
 
 def _score(model, at: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -176,13 +192,11 @@ def score_quality(
     Repeated rows score alike; every row gives one row. Without any usable label every score is
     0.5. Columns beyond ``keep`` may have any name.
     """
-    model = fit_quality(docs, labels, usable, **settings)
+    model = fit_quality(docs, labels, usable, **settings).mapInArrow(_projected(settings.get("size", SIZE)), "weights binary, bias double").first()
     if model is None:
         return docs.select(*keep, F.lit(0.5).alias(name))
-    vectors, out, bias = model
-    # mean(vectors) @ out = mean(vectors @ out); with two classes the softmax needs the difference only
-    table = (vectors @ (out[:, 1] - out[:, 0])).astype(np.float64)
-    sent = docs.sparkSession.sparkContext.broadcast((table, float(bias[1] - bias[0])))  # of a fixed size
+    table = np.frombuffer(model.weights, np.float32).astype(np.float64)
+    sent = docs.sparkSession.sparkContext.broadcast((table, model.bias))  # of a fixed size
     rows = docs.select(*keep)
     schema = StructType([*rows.schema, StructField(name, DoubleType())])
     if "text" in keep and rows.schema["text"].dataType == StringType():
