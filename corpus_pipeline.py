@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import table, written
+from parcelmart.llm.common import release, table, written
 from parcelmart.llm.decontaminate import without_leaks
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.ngram_join import one_of_each
@@ -20,6 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below 0.5 go. Learned as in the query op4: labels of ids
     whose remainder is 1 are left for measuring."""
+    release(spark)
     name = "score of the quality classifier"
     scored = score_quality(docs, table(spark, sf_dir, "labels"), remainder(F.col("key"), 3) != 1, docs.columns, name)
     return scored.filter(F.col(f"`{name}`") >= 0.5).drop(name)
@@ -27,21 +28,25 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line go; n_chars follows the text."""
+    release(spark)
     return dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates one document stays."""
+    release(spark)
     return one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    release(spark)
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of what is left."""
+    release(spark)
     encoded = encode_texts(docs, ["doc_id"])
     return encoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip")
 
