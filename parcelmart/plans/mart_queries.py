@@ -115,19 +115,21 @@ def driver_rank(spark, sf_dir):
 @query(
     f"""{eligible_cte()}, d AS ({driver_sql()})
 SELECT year, week_of_year, province, city, expedition, driver_value, rank_in_group,
-  replace(format('{{:.6f}}', return_rate), '.', ',') AS return_rate FROM d"""
+  replace(format('{{:.6f}}', return_rate), '.', ',') AS return_rate,
+  CAST(row_number() OVER (ORDER BY {", ".join(f"{k} NULLS LAST" for k in [*GROUP.split(", "), "driver_type"])},
+    return_rate DESC NULLS LAST, driver_value NULLS LAST) - 1 AS BIGINT) AS position FROM d"""
 )
 def driver_sorted_export(spark, sf_dir):
-    """The driver mart as sorted text files with decimal commas, read back."""
+    """The driver mart as sorted text files with decimal commas and the position of each row, read back."""
     path = scratch_path(spark, "sorted")
     mart = marts.fact_return_driver_weekly(written_base(spark, sf_dir))
-    texts = marts.sorted_driver(mart).withColumn("return_rate", decimal_comma(F.col("return_rate")))
-    texts.write.csv(path, header=True, sep=";")
-    kept = GROUP.split(", ") + ["driver_value", "rank_in_group", "return_rate"]
+    texts = marts.numbered_driver(mart).withColumn("return_rate", decimal_comma(F.col("return_rate")))
+    texts.orderBy("position").write.csv(path, header=True, sep=";")
+    kept = GROUP.split(", ") + ["driver_value", "rank_in_group", "return_rate", "position"]
     schema = ", ".join(
         f"{f.name} {'STRING' if f.name == 'return_rate' else f.dataType.simpleString()}"
         for f in FACT_DRIVER.fields
-    )
+    ) + ", position BIGINT"
     return spark.read.csv(path, schema=schema, header=True, sep=";").select(*kept)
 
 

@@ -11,7 +11,7 @@ from parcelmart.operators.eligibility import eligibility_flags
 from parcelmart.operators.normalize import export_normalize
 from parcelmart.plans import mart_queries
 from parcelmart.plans.build import build_marts, run_quarter
-from parcelmart.plans.loads import Layout, check_marts, load_orders, read_marts
+from parcelmart.plans.loads import Layout, check_marts, live_orders, load_orders, read_marts
 from parcelmart.plans.shipments import carrier_shipments
 from parcelmart.schemas import EXPORT_ORDER, FACT_REASON, MARTS, REASON_KEYS
 from parcelmart.streaming import incremental
@@ -302,6 +302,18 @@ def test_csv_files_of_any_suffix_are_streamed(spark, tmp_path):
     incremental.run_available(spark, incremental.landed_csv(spark, str(landing)), layout)
     weekly = read_marts(spark, layout)["fact_returns_weekly"]
     assert weekly.agg(F.sum("total_shipments")).first()[0] == mart_queries.eligible_exports(rows).count() > 0
+    # a batch of good and bad files: the good ones are loaded, the bad ones are listed
     (landing / "page.csv").write_text("<!doctype html><p>a,b</p>")
-    with pytest.raises(Exception, match=r"no CSV: .*page\.csv \(html\)"):
+    (landing / "short").write_text("a,b\n1,2\n")
+    (landing / "empty.csv").write_text("")
+    good = (landing / "UPPER.CSV").read_text().splitlines()
+    (landing / "more.csv").write_text("\n".join([good[0], good[1].replace(good[1].split(",")[0], "another", 1)]) + "\n")
+    before = live_orders(spark, layout).count()
+    for _ in range(2):
         incremental.run_available(spark, incremental.landed_csv(spark, str(landing)), layout)
+        found = {r.file.split("/")[-1]: (r.reason, r.batch) for r in incremental.read_quarantine(spark, layout).collect()}
+        assert found == {"page.csv": ("no CSV (html)", "stream-1"), "short": ("no known header row", "stream-1")}  # Spark lists no empty files
+        assert live_orders(spark, layout).count() == before + 1
+    (landing / "last.csv").write_text("no CSV")
+    with pytest.raises(Exception, match=r"last\.csv"):
+        incremental.run_available(spark, incremental.landed_csv(spark, str(landing)), layout, strict=True)
