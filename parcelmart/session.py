@@ -66,6 +66,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder; none if it is not there."""
     context = spark.sparkContext

@@ -108,7 +108,6 @@ def test_checks_read_counts_and_find_a_damaged_week(spark, tmp_path):
     load_orders(spark, layout, orders_frame(spark, (1, D1, "B", "Lost"), (5, D1, "A", "Lost")))
     load_orders(spark, layout, orders_frame(spark, (6, D2, "A", "Lost")), replaced=[(2026, 10), (2026, 30)])
     shutil.rmtree(layout.staging)  # no staged order is needed for the checks
-    shutil.rmtree(layout.without_id)
     assert clean(spark, layout) == []
     assert {r.check_name for r in check_marts(spark, layout).collect()} >= {"week_total_is_loaded", "eligible_is_based", "amounts_out_of_range"}
     shutil.rmtree(f"{layout.mart('fact_return_reason_weekly')}/data/version=2/year=2026/week_of_year=6")
