@@ -13,8 +13,9 @@ from parcelmart.operators.eligibility import add_week_keys, eligible_exports
 from parcelmart.operators.normalize import bucket_services, export_normalize
 from parcelmart.operators.quality import mart_quality as check_marts
 from parcelmart.operators.tables import read_mart_or_empty, upsert_mart
-from parcelmart.plans.build import all_marts, build_marts, run_quarter
+from parcelmart.plans.build import all_marts, build_marts
 from parcelmart.plans.build import raw_to_marts as take_raw
+from parcelmart.plans.landing import land_orders, run_landed_quarter
 from parcelmart.plans.loads import Layout, read_marts
 from parcelmart.plans.oracle_sql import (
     GROUP,
@@ -178,14 +179,10 @@ QUARTERS = [dt.date(1997, 2, 10), dt.date(1997, 5, 10)]
 def quarter_runs(spark, sf_dir):
     """Two weekly runs, one quarter each, both with the orders that have no date. The weeks at the
     edges are loaded whole, and so is week 1, which also holds the last days of December."""
-    folder = scratch_path(spark, "quarters")
-    # Landed once as parsed orders, by year, so that the windows prune folders and columns.
-    landed = orders(spark, sf_dir)
-    landed.withColumn("event_year", F.year("event_date")).write.partitionBy("event_year").parquet(f"{folder}/orders")
-    rows = spark.read.schema(landed.schema).parquet(f"{folder}/orders")
-    layout = Layout(f"{folder}/warehouse")
+    layout, landed = Layout(scratch_path(spark, "quarters")), orders(spark, sf_dir)
+    land_orders(landed, layout, batch=1)
     for today in QUARTERS:
-        run_quarter(spark, layout, rows, today)
+        run_landed_quarter(spark, layout, landed.schema, today)
     return all_marts(read_marts(spark, layout))
 
 
