@@ -32,7 +32,6 @@ BREAK = b"\r\n\r\n"
 
 READ_BYTES = 1 << 20
 MOST_TASKS = 20_000  # beyond it a task reads several ranges
-LONGEST_HEADER = 1 << 20
 ARCHIVES = "path string, bytes long, records long"
 
 
@@ -166,9 +165,9 @@ class _Range:
 
     def member(self) -> bytes | None:
         """The content of the member here, past which it moves; None if what is here is no member
-        that begins with a WARC header."""
+        that begins with a WARC header, however long that is."""
         unpacker, out, fed, checked = zlib.decompressobj(31), [], 0, False
-        head = b""
+        head, searched = bytearray(), 0
         while True:
             if fed == len(self.data) and not self.more():
                 if checked:
@@ -186,8 +185,10 @@ class _Range:
                 head += made
                 if not head.startswith(b"WARC/1."[: len(head)]):
                     return None
-                checked = BREAK in head and re.search(rb"(?i)\r\nContent-Length:[ \t]*[0-9]+[ \t]*\r\n", head[: head.find(BREAK) + 2]) is not None
-                if not checked and (BREAK in head or len(head) > LONGEST_HEADER or unpacker.eof):
+                stop = head.find(BREAK, max(0, searched - len(BREAK)))
+                searched = len(head)
+                checked = stop >= 0 and re.search(rb"(?i)\r\nContent-Length:[ \t]*[0-9]+[ \t]*\r\n", head[: stop + 2]) is not None
+                if not checked and (stop >= 0 or unpacker.eof):
                     return None
             if unpacker.eof:
                 self.skip(fed - len(unpacker.unused_data))
@@ -283,3 +284,12 @@ def read_records(archives: DataFrame, split_bytes: int = 4 << 20, payloads: bool
     # rows this small would all be put in one task; a stated number of partitions is kept
     ranges = ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
     return mapped(ranges, _read(payloads), RECORDS).filter("record_type <> 'warcinfo'")
+
+
+def unread_records(archives: DataFrame, records: DataFrame) -> DataFrame:
+    """(path, records, found) of the files from which another number of page records was read than the
+    manifest of ``write_archives`` states. Only counts by file are compared."""
+    found = records.groupBy("path").agg(F.count("*").alias("found"))
+    both = archives.select("path", "records").join(found, "path", "full_outer")
+    counts = both.select("path", "records", F.coalesce("found", F.lit(0).cast("long")).alias("found"))
+    return counts.filter(~F.col("records").eqNullSafe(F.col("found")))

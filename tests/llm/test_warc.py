@@ -1,9 +1,10 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
-from parcelmart.llm.warc import read_records, write_archives
+from parcelmart.llm.warc import read_records, unread_records, write_archives
 from parcelmart.session import scratch_path
 
 SCHEMA = "page_id long, url string, html string, digest string, path string"
@@ -30,7 +31,7 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("split", [37, 500, 1 << 20])
+@pytest.mark.parametrize("split", [37, 100, 500, 1 << 20])
 def test_every_split_gives_every_record_once(spark, split):
     made = archives(spark, ROWS, target_bytes=700)
     got = [r.asDict() for r in read_records(made, split_bytes=split).collect()]
@@ -71,6 +72,17 @@ def test_bytes_between_members_are_passed_and_damage_raises(spark, tmp_path):
         read(data[:-9])
 
 
+def test_very_long_urls_are_read_back(spark):
+    """Headers of several megabytes, as those of a url that does not compress."""
+    url = "http://x/" + "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz0123456789\u00e9 ", k=2_000_000))
+    made = archives(spark, [(1, "u", "a"), (2, url, LONG), (3, "v", "b")])
+    got = read_records(made)
+    assert sorted(r.record_id for r in got.collect()) == [f"<urn:page:{k}>" for k in (1, 2, 3)]
+    assert unread_records(made, got).count() == 0
+    lost = unread_records(made, got.filter("record_id <> '<urn:page:2>'")).collect()
+    assert [r.records - r.found for r in lost] == [1]
+
+
 def test_empty_tables(spark):
     made = archives(spark, [])
     assert made.count() == 0 and read_records(made).count() == 0
