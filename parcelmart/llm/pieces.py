@@ -28,6 +28,7 @@ from parcelmart.llm.common import mapped
 MARKER = "▁"
 UNKNOWN_TEXT = " ⁇ "
 CACHED = 600_000  # cuts a worker keeps; beyond it starts anew
+CACHED_CHARACTERS = 1 << 26  # and characters of them, as texts without blanks are cuts as long as they are
 CHARACTERS = 1 << 20  # about so many characters are encoded at a time
 
 _CUTS = re.compile(" +[^ ]+| +$")
@@ -241,6 +242,7 @@ class Encoder:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.ids, self.bounds = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def _cuts(self, text: str) -> list[str]:
@@ -260,12 +262,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the texts."""
         cuts = [self._cuts(t) for t in texts]
-        if len(self.known) > CACHED:
+        if len(self.known) > CACHED or self.held > CACHED_CHARACTERS:
             self._clear()
         fresh = list(dict.fromkeys(c for c in chain.from_iterable(cuts) if c not in self.known))
         if fresh:
             made, bounds = viterbi(self.pieces, [c[1:].encode() if c[:1] == "\ud800" else (MARKER + c.replace(" ", MARKER)).encode() for c in fresh])
             n = len(self.known)
+            self.held += sum(map(len, fresh))
             self.known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
             self.ids = np.concatenate([self.ids, made])

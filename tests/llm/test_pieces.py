@@ -115,3 +115,17 @@ def test_encode_and_decode_tables(spark):
     odd = spark.createDataFrame([([1, 2],), ([],), (None,), ([None, -5, 99999, 3 + 0xC3],)], "ids array<int>")
     assert sorted(r.text for r in decode_ids(odd, []).collect()) == ["", "", "", "⁇  ⁇  ⁇ �"]
     assert encode_texts(docs.limit(0), ["doc_id"]).collect() == []
+
+
+def test_cache_is_bounded_by_characters(monkeypatch):
+    """Texts without blanks are cuts of their own; the cache starts anew when they add up."""
+    from parcelmart.llm import pieces as module
+
+    monkeypatch.setattr(module, "CACHED_CHARACTERS", 1000)
+    encoder = Encoder(pieces())
+    texts = ["".join(random.Random(k).choices("abcdefgh", k=400)) for k in range(12)]
+    for text in texts * 2:
+        got, bounds = encoder.encode([text, text])
+        want, own = Encoder(pieces()).encode([text])
+        assert got.tolist() == want.tolist() * 2 and bounds.tolist() == [0, own[-1], 2 * own[-1]]
+        assert encoder.held == sum(map(len, encoder.known)) <= 1000 + 400
