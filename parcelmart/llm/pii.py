@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,16 +102,55 @@ def _line_terms(line: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 FOUND = (
     "row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<long>, terms array<struct<entity:long,line:long,term:long,fresh:int,start:int,end:int>>"
+    "entities array<struct<line:long,parts:int,entity:long>>, "
+    "terms array<struct<line:long,parts:int,term:long,fresh:boolean,start:int,end:int>>"
 )
+ENTITY_FIELDS = {"line": pa.int64(), "parts": pa.int32(), "entity": pa.int64()}
+TERM_FIELDS = {"line": pa.int64(), "parts": pa.int32(), "term": pa.int64(), "fresh": pa.bool_(), "start": pa.int32(), "end": pa.int32()}
+PART = 256  # entities of a line that meet its terms in one group of a shuffle
+
+
+def _lines_of(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, str, list[tuple[str, int, int]]]]:
+    """(start, line, its spans by start) of each line with spans. No span runs over a line end."""
+    breaks = [m.start() for m in re.finditer("\n", text)]
+    held: dict[int, list[tuple[str, int, int]]] = {}
+    for span in spans:
+        held.setdefault(bisect_left(breaks, span[1]), []).append(span)
+    for k, own in held.items():
+        start = breaks[k - 1] + 1 if k else 0
+        yield start, text[start : breaks[k] if k < len(breaks) else len(text)], sorted(own, key=lambda s: s[1])
+
+
+def _free_terms(line: str, start: int, spans: list[tuple[str, int, int]]) -> list[np.ndarray]:
+    """Hash, first occurrence or not, start and end of the line's terms that touch none of its spans."""
+    term, first, last = _line_terms(line)
+    first, last = first + start, last + start
+    ends = np.maximum.accumulate([s[2] for s in spans])  # the first to pass a point is the first span that ends behind it
+    at = np.searchsorted(ends, first, side="right")
+    begins = np.append([s[1] for s in spans], np.iinfo(np.int64).max)
+    free = begins[at] >= last
+    term, first, last = term[free], first[free], last[free]
+    fresh = np.zeros(len(term), bool)
+    fresh[np.unique(term, return_index=True)[1]] = True
+    return [term, fresh, first, last]
+
+
+def _lists(rows: list[list[np.ndarray]], fields: dict[str, pa.DataType]) -> pa.ListArray:
+    """One list of structs for each row, given as blocks of a (line of) columns."""
+    sizes = [sum(len(block[0]) for block in row) for row in rows]
+    blocks = [block for row in rows for block in row]
+    columns = [
+        pa.array(np.concatenate([block[k] for block in blocks]) if blocks else [], kind)
+        for k, kind in enumerate(fields.values())
+    ]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, names=list(fields)))
 
 
 def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each row its base spans; for each line with entities these (once a line) and the line's
-    other terms. ``fresh`` is 1 at the first occurrence of a term in its line."""
-    term_type = pa.list_(
-        pa.struct([("entity", pa.int64()), ("line", pa.int64()), ("term", pa.int64()), ("fresh", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-    )
+    """For each row its base spans, and for each of its lines with entities these (once a line) and the
+    occurrences of the line's other terms, side by side: no pairs, so a row grows with its text.
+    ``fresh`` marks the first occurrence of a term in its line."""
     for batch in batches:
         counts, bases, entities, terms = {k: [] for k in KINDS}, [], [], []
         for value in batch.column(2):
@@ -119,31 +159,22 @@ def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind in KINDS:
                 counts[kind].append(sum(s[0] == kind for s in spans))
             bases.append(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
-            lines: dict[int, set[int]] = {}
-            for kind, a, b in spans:
-                lines.setdefault(text.rfind("\n", 0, a) + 1, set()).add(_entity(kind, text[a:b]))
-            entities.append([e for found in lines.values() for e in sorted(found)])
-            own = []
-            for start, found in lines.items():
-                stop = text.find("\n", start)
-                line = text[start : stop if stop >= 0 else len(text)]
-                code = _hash(line)
-                seen = set()
-                for h, a, b in zip(*(x.tolist() for x in _line_terms(line)), strict=True):
-                    a, b = a + start, b + start
-                    if any(a < y and x < b for _, x, y in spans):
-                        continue
-                    own += [(e, code, h, int(h not in seen), a, b) for e in sorted(found)]
-                    seen.add(h)
-            terms.append([dict(zip(("entity", "line", "term", "fresh", "start", "end"), t, strict=True)) for t in own])
+            entities.append([])
+            terms.append([])
+            for start, line, own in _lines_of(text, spans) if spans else ():
+                found = np.unique(np.array([_entity(kind, text[a:b]) for kind, a, b in own], np.int64))
+                code, parts = _hash(line), 1 + len(found) // PART
+                free = _free_terms(line, start, own)
+                entities[-1].append([np.full(len(found), code), np.full(len(found), parts), found])
+                terms[-1].append([np.full(len(free[0]), code), np.full(len(free[0]), parts), *free])
         yield pa.record_batch(
             [
                 batch.column(0),
                 batch.column(1),
                 *(pa.array(counts[k], pa.int64()) for k in KINDS),
                 pa.array(bases, pa.string()),
-                pa.array(entities, pa.list_(pa.int64())),
-                pa.array(terms, term_type),
+                _lists(entities, ENTITY_FIELDS),
+                _lists(terms, TERM_FIELDS),
             ],
             names=["row", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "terms"],
         )
@@ -217,6 +248,34 @@ def find_spans(
     return _spans_of(_numbered(docs, doc_id, text), disclosure, min_support).drop("row")
 
 
+def _per_line(found: DataFrame, column: str, name: str) -> DataFrame:
+    """(line, parts, ``name``, copies) for each different line and each of its entities or terms."""
+    each = found.select(F.explode(column).alias("x")).select("x.line", "x.parts", f"x.{name}")
+    return written(each.groupBy("line", "parts", name).agg(F.count("*").alias("copies")), f"pii-{column}")
+
+
+def _support(lines: Column, copies: Column, min_support: int) -> Column:
+    return (lines > 1) | (copies >= min_support)
+
+
+def _supported(per_line: DataFrame, name: str, min_support: int) -> DataFrame:
+    """The rows of the entities or terms that have support by themselves: no pair has more than its sides."""
+    enough = (
+        per_line.groupBy(name)
+        .agg(F.count("*").alias("lines"), F.sum("copies").alias("copies"))
+        .filter(_support(F.col("lines"), F.col("copies"), min_support))
+    )
+    return per_line.join(enough.select(name), name, "left_semi")
+
+
+def _pairs(held: DataFrame, beside: DataFrame) -> DataFrame:
+    """(line, entity, term, copies): the entities of a line beside its terms. A line of very many entities is cut
+    into parts of them, each of which meets all terms, so none is one group of the shuffle."""
+    left = held.select("line", F.pmod("entity", "parts").alias("part"), "entity", "copies")
+    right = beside.select("line", F.explode(F.expr("sequence(0L, parts - 1L)")).alias("part"), "term")
+    return left.join(right, ["line", "part"]).select("line", "entity", "term", "copies")
+
+
 def _spans_of(rows: DataFrame, disclosure: float, min_support: int) -> DataFrame:
     found = written(mapped(rows, _detect, FOUND), "pii-found")
     corpus = written(
@@ -227,26 +286,36 @@ def _spans_of(rows: DataFrame, disclosure: float, min_support: int) -> DataFrame
         "pii-terms",
     )
     total = corpus.filter("term is null").agg(F.coalesce(F.sum("term_lines"), F.lit(0))).first()[0]
-    beside = found.select("row", F.explode("terms").alias("t")).select("row", "t.*")
+    held = _per_line(found, "entities", "entity")
+    beside = _per_line(found.withColumn("terms", F.filter("terms", lambda t: t["fresh"])), "terms", "term")
+    pairs = _pairs(_supported(held, "entity", min_support), _supported(beside, "term", min_support))
     joint = (
-        beside.groupBy("entity", "term")
-        .agg(F.sum("fresh").alias("both"), F.min("line").alias("one"), F.max("line").alias("other"))
-        .filter((F.col("one") != F.col("other")) | (F.col("both") >= min_support))
+        pairs.groupBy("entity", "term")
+        .agg(F.sum("copies").alias("both"), F.count("*").alias("lines"))
+        .filter(_support(F.col("lines"), F.col("both"), min_support))
         .select("entity", "term", "both")
     )
-    alone = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_lines"))
+    alone = held.groupBy("entity").agg(F.sum("copies").alias("entity_lines"))
     shared = F.log(F.lit(float(total)) * F.col("both") / (F.col("entity_lines").cast("double") * F.col("term_lines")))
-    revealing = (
+    revealing = written(
         joint.join(alone, "entity")
         .join(corpus, "term")
         .filter(shared >= disclosure * F.log(F.lit(float(total)) / F.col("entity_lines")))
         .filter(shared > 0)
-        .select("entity", "term")
+        .select("entity", "term"),
+        "pii-revealing",
     )
-    added = (
-        beside.join(revealing, ["entity", "term"])
-        .select("row", "start", "end")
+    of_entity, of_term = (revealing.select(c).distinct() for c in ("entity", "term"))
+    marked = (
+        _pairs(held.join(of_entity, "entity", "left_semi"), beside.join(of_term, "term", "left_semi"))
+        .join(revealing, ["entity", "term"], "left_semi")
+        .select("line", "term")
         .distinct()
+    )
+    added = (
+        found.select("row", F.explode("terms").alias("t"))
+        .select("row", "t.line", "t.term", "t.start", "t.end")
+        .join(marked, ["line", "term"], "left_semi")
         .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
         .select("row", F.expr("array_join(transform(spans, s -> concat('term:', s.start, ':', s.end)), ',')").alias("added"))
