@@ -127,20 +127,29 @@ def remainder(doc_id: Column, n: int) -> Column:
 def fit_quality(
     docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 4000, size: int = SIZE, epochs: int = 8, rate: float = 1.0
 ) -> DataFrame:
-    """The model (vectors, out, bias: float32 bytes) fitted on at most ``sample`` of the labelled documents that
-    are ``usable``, those with the smallest hash of their id; no row without any. Labels other than 0 and 1 and labels of
-    ids that no document has are left out; an id with both labels is an example of both."""
-    wanted = (
+    """The model (vectors, out, bias: float32 bytes) fitted on at most ``sample`` examples, the pairs of a different
+    text of a labelled document that is ``usable`` and its label with the smallest hash; no row without any. Labels
+    other than 0 and 1 and labels of ids that no document has are left out; an id with both labels is an example of
+    both. Repeated rows are one example, so an id with very many rows brings no more than ``sample`` of them."""
+    marks = (
         labels.select(F.col("doc_id").cast("long").alias("key"), F.col("quality").cast("int").alias("label"))
         .filter(usable)
         .filter("key is not null and label in (0, 1)")
         .distinct()
-        .orderBy(F.xxhash64("key", F.lit(42)), "key", "label")
+    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    texts = texts.filter("key is not null").withColumn("code", F.xxhash64("text"))
+    wanted = (
+        texts.select("key", "code")
+        .distinct()
+        .join(marks, "key")
+        .orderBy(F.xxhash64("key", "code", F.lit(42)), "key", "code", "label")
         .limit(sample)
     )
     examples = (
-        docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(wanted), "key")  # at most `sample` rows of two numbers
+        texts.join(F.broadcast(wanted), ["key", "code"])  # at most `sample` rows of three numbers
+        .groupBy("key", "code", "label")
+        .agg(F.first("text").alias("text"))
         .select("key", "label", "text")
         .mapInArrow(_counted, "key long, label int, ids binary, counts binary")
     )

@@ -1,9 +1,13 @@
 import random
 
+import pyarrow as pa
+import pytest
+
 from pyspark.sql import functions as F
 
 from parcelmart.llm.common import table
-from parcelmart.llm.quality import remainder, score_quality
+from parcelmart.llm import quality
+from parcelmart.llm.quality import fit_quality, remainder, score_quality
 
 DOCS = "doc_id long, text string, label int, key long, ids string"
 SF = "/root/testdata/sf0.01"
@@ -57,3 +61,23 @@ def test_text_among_the_kept_columns(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = score_quality(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), F.lit(True), ["text", "doc_id"], "quality")
     assert got.columns == ["text", "doc_id", "quality"] and sorted((r.doc_id, r.text) for r in got.collect()) == [(1, "a b"), (2, None)]
+
+
+def test_an_id_of_very_many_rows_brings_no_more_than_the_sample(spark):
+    rows = [(1, "word1 word2"), (2, "JUNK1$$")] * 50 + [(3, f"word{k}") for k in range(200)] + [(7, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0), (7, 1), (900, 1)], "doc_id long, quality int")
+    seen = []
+
+    def spy(settings):
+        def count(batches):
+            n = sum(batch.num_rows for batch in batches)
+            yield pa.record_batch([pa.array([str(n).encode()], pa.binary())] * 3, names=["vectors", "out", "bias"])
+
+        seen.append(settings)
+        return count
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "_fit", spy)
+        counts = [int(bytes(fit_quality(docs, marks, F.lit(True), sample=n).first()[0])) for n in (30, 1000)]
+    assert counts == [30, 1 + 1 + 2 * 200 + 1] and len(seen) == 2  # copies count once, ids without a document not at all
