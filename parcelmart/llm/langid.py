@@ -158,9 +158,9 @@ def identify_language(
 ) -> DataFrame:
     """The ``keep`` columns of every row, lang_pred and lang_score.
 
-    The model is fitted on at most ``sample`` rows with a language and a text that are ``usable``,
-    the same number of each language as far as there are so many, those with the smallest hash of
-    id and text. Null texts and texts without a letter are ``und`` with score 0; so are all
+    The model is fitted on at most ``sample`` different (id, language, text) that are ``usable``, the
+    same number of each language as far as there are so many, those with the smallest hash of id and
+    text; repeated rows are one of them. With more languages than ``sample`` only that many are learned. Null texts and texts without a letter are ``und`` with score 0; so are all
     without any row to learn from. Repeated rows are predicted alike; every row gives one row.
     Columns beyond ``keep`` may have any name.
     """
@@ -174,12 +174,19 @@ def identify_language(
     if not languages:
         return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("lang_score"))
     each = max(1, sample // languages)
-    drawn = labelled.select("key", "lang", F.xxhash64("key", F.length("text")).alias("draw"))
+    labelled = labelled.withColumn("code", F.xxhash64("text"))
+    drawn = labelled.select("key", "lang", "code").distinct().withColumn("draw", F.xxhash64("key", "code"))
     part = drawn.withColumn("part", F.pmod("draw", F.lit(16)))
     for by in (["lang", "part"], ["lang"]):  # a language's rows are cut in 16 parts before they meet
-        part = part.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("draw", "key"))).filter(F.col("rank") <= each)
-    wanted = part.select("key", "lang").distinct()
-    examples = labelled.join(F.broadcast(wanted), ["key", "lang"]).select("key", "lang", "text")  # at most `sample` pairs
+        ranks = Window.partitionBy(*by).orderBy("draw", "key", "code")
+        part = part.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= each)
+    wanted = part.orderBy("rank", "draw", "lang", "key", "code").limit(sample).select("key", "lang", "code")
+    examples = (
+        labelled.join(F.broadcast(wanted), ["key", "lang", "code"])  # at most `sample` rows
+        .groupBy("key", "lang", "code")
+        .agg(F.first("text").alias("text"))
+        .select("key", "lang", "text")
+    )
     fitted = (
         examples.mapInArrow(_vectors, "key long, lang string, seen binary")
         .repartition(1)

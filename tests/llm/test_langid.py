@@ -55,3 +55,11 @@ def test_held_out_documents(spark):
     got = identify_language(docs, remainder(F.col("doc_id"), 5) != 0, ["doc_id", "lang"])
     right = got.filter(remainder(F.col("doc_id"), 5) == 0).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_repeated_rows_of_one_id_and_more_languages_than_the_sample(spark):
+    rows = [(k, t, lang) for k, t, lang in corpus(90)] + [(500, "kato miru " * 20, "aa")] * 300
+    got = predict(spark, rows, F.col("doc_id") < 1000, sample=60, landmarks=20)
+    assert len(got) == len(rows) and sum(p == lang for (_, p, _), (_, _, lang) in zip(got, rows, strict=True)) >= 0.95 * len(rows)
+    many = [(k, f"kato{k} " * 5, f"l{k}") for k in range(40)]
+    assert len({p for _, p, _ in predict(spark, many, sample=10)}) <= 10
