@@ -60,13 +60,22 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, degree: int = 12, beam: int = 64):
         self.original = vectors
-        self.scale = float(np.abs(vectors).max()) if vectors.size else 1.0
-        self.x = (vectors / (self.scale or 1.0)).astype(np.float32)
+        size = np.abs(vectors).max(1, initial=0)
+        self.scale = float(np.median(size)) if len(size) and np.median(size) > 0 else 1.0
+        # single precision unless the square of some component would leave its range
+        alike = not len(size) or (size.max() < 1e15 * self.scale and size.min() > 1e-15 * self.scale)
+        self.type = np.float32 if alike else np.float64
+        self.x = self._scaled(vectors)
         self.squares = np.einsum("nd,nd->n", self.x, self.x)
         self.degree, self.beam = degree, beam
         self.levels = np.zeros(len(vectors), np.int8)
         self.links: list[np.ndarray] = []
 
+    def _scaled(self, vectors: np.ndarray) -> np.ndarray:
+        far = 1e15 if self.type == np.float32 else 1e150
+        with np.errstate(over="ignore"):
+            return np.clip(vectors / self.scale, -far, far).astype(self.type)
+
     def _width(self, level: int) -> int:
         return 2 * self.degree if level == 0 else self.degree
 
@@ -74,7 +83,7 @@ class Graph:
         """Squared distances of each point to its row of nodes; infinite for node -1."""
         dots = np.einsum("qd,qmd->qm", points, self.x[nodes])
         out = self.squares[nodes] - 2 * dots + np.einsum("qd,qd->q", points, points)[:, None]
-        return np.where(nodes >= 0, out, np.inf).astype(np.float32)
+        return np.where(nodes >= 0, out, np.inf).astype(self.type)
 
     def _between(self, nodes: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
         def between(order: np.ndarray) -> np.ndarray:
@@ -92,7 +101,7 @@ class Graph:
         q, links = len(points), self.links[level]
         seen = np.zeros((q, len(self.x)), bool)
         nodes = np.full((q, beam), -1, np.int32)
-        near = np.full((q, beam), np.inf, np.float32)
+        near = np.full((q, beam), np.inf, self.type)
         left = np.zeros((q, beam), bool)
         starts = entries[:, :beam]
         nodes[:, : starts.shape[1]] = starts
@@ -192,7 +201,7 @@ class Graph:
         scores = np.full((len(points), k), np.inf)
         for first in range(0, len(points), 512):
             part = points[first : first + 512]
-            scaled = (part / (self.scale or 1.0)).astype(np.float32)
+            scaled = self._scaled(part)
             found, _ = self._walk(scaled, self._entries(scaled, 0), 0, max(beam, k))
             exact = np.sqrt(((self.original[found] - part[:, None, :]) ** 2).sum(2))
             exact = np.where(found >= 0, exact, np.inf)

@@ -70,3 +70,32 @@ def test_ties_repeats_and_unusable_vectors(spark):
 @pytest.mark.parametrize("rows", [[], [(10, [1.0, 2.0])], [(1, [1.0, 2.0]), (3, [2.0, 1.0])]])
 def test_nothing_to_find(spark, rows):
     assert collect(near(spark, rows)) == []
+
+
+@pytest.mark.parametrize("far", [1e30, 1e-30, 1e200])
+def test_a_huge_or_tiny_component_blinds_no_shard(far):
+    points = np.random.default_rng(5).normal(size=(1500, 16))
+    points[7] = 0.0
+    points[7, 0] = far
+    graph = Graph(points).build()
+    _, near_ = graph.search(points[:100], 10, 128)
+    exact = np.sort(np.sqrt(((points[:100, None] - points[None]) ** 2).sum(2)), 1)[:, :10]
+    assert (near_ <= exact[:, 9:] * (1 + 1e-9)).mean() > 0.95
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_over_several_shards(spark, clusters):
+    random = np.random.default_rng(6)
+    points = random.normal(size=(4800, 24))
+    if clusters:
+        points = 0.1 * points + random.normal(size=(clusters, 24))[random.integers(0, clusters, len(points))]
+    rows = [(i, v.tolist()) for i, v in enumerate(points.astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = nearest_neighbours(df, F.col("vec_id") % 50 == 0, shard_rows=1000, search_beam=64).collect()
+    exact = np.array([v for _, v in rows], np.float32).astype(np.float64)
+    hits = 0
+    for q in range(0, 4800, 50):
+        d = ((exact - exact[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert len(got) == 960 and hits >= 0.9 * 960
