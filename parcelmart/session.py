@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -15,16 +16,22 @@ SETTINGS = {
 }
 
 
-# The normalisers compute many text columns in one step. Fused into one Java method they
-# exceed the size up to which the JVM compiles methods; below this limit Spark splits
-# them instead, which ran the same projection in two thirds of the time.
-TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# Setting: (Spark's default, ours).
+TUNING = {
+    # The normalisers compute many text columns in one step. Fused into one Java method they
+    # exceed the size up to which the JVM compiles methods; below this limit Spark splits
+    # them instead, which ran the same projection in two thirds of the time.
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    # The format audit takes up to 4,096 lines of a file, by their rank: up to this rank Spark
+    # drops the others before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": ("1000", "4096"),
+}
 
 
 def tune(spark: SparkSession) -> None:
     """Session settings that suit this package's plans, where the session has defaults."""
-    for key, value in TUNING.items():
-        if spark.conf.get(key) == "65535":
+    for key, (default, value) in TUNING.items():
+        if spark.conf.get(key, default) == default:
             spark.conf.set(key, value)
 
 
@@ -44,9 +51,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, which the cluster or the
-    session's builder sets, else the warehouse, which executors share as well."""
+    session's builder sets, else the warehouse. A warehouse on the machine's own disk is refused
+    unless the session runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if urlsplit(warehouse).scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{warehouse}/scratch"
+    return folder.rstrip("/")
 
 
 def run_folder(spark: SparkSession) -> str:
