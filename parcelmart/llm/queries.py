@@ -13,7 +13,7 @@ from parcelmart.llm.decontaminate import find_leaks
 from parcelmart.llm.filter_audit import audit_documents
 from parcelmart.llm.hnsw import nearest_neighbours
 from parcelmart.llm.langid import identify_language
-from parcelmart.llm.licence_texts import LICENCE_TEXTS, NOTICES, SPELLINGS
+from parcelmart.llm.licence_texts import MORE_NOTICES, NOTICES, SPELLINGS, published_texts
 from parcelmart.llm.license_scan import COPYRIGHT_LINE, NO_WORD, RESERVED_LINE, known_texts, scan_licences
 from parcelmart.llm.line_dedup import COPY, repeated_lines, with_copies, worded_lines
 from parcelmart.llm.ngram_join import near_duplicates
@@ -30,15 +30,24 @@ def _sql_text(value: str) -> str:
 
 
 def _sql_canonical(text: str) -> str:
-    """The canonical form of the licence scan in DuckDB's terms."""
-    whole = f"lower({text})"
+    """The canonical form of the licence scan in DuckDB's terms, whose expressions have no look-ahead: a line
+    that names a holder is split behind the word, and its rest is held against the words of the law."""
+    head = "^[^\\p{L}\\p{N}(]*Copyright[ \\t:,]+(?:(?i:by|the)[ \\t]+)?"
+    rest = f"regexp_extract(x, '{head}([^ \\t:,].*)$', 1)"
+    law = "^(?i:act|disclaimer|holder|infring|interest|law|licen|notice|office|owner|permission|protect|right|statement|treat)"
+    holder = f"regexp_matches({rest}, '^(?:\\p{{Lu}}|contributors\\b|authors\\b)') AND NOT regexp_matches({rest}, '{law}')"
+    unnamed = f"list_transform(string_split({text}, chr(10)), lambda x: CASE WHEN contains(x, 'Copyright') AND {holder} THEN '' ELSE x END)"
+    whole = f"lower(array_to_string({unnamed}, chr(10)))"
     for pattern, replacement in ((COPYRIGHT_LINE, ""), (RESERVED_LINE, ""), (NO_WORD, " ")):
         whole = f"regexp_replace({whole}, {_sql_text(pattern)}, '{replacement}', 'g')"
     return whole
 
 
 def _sql_whole(lines: str) -> str:
-    whole = f"trim(regexp_replace({lines}, '[ \n]+', ' ', 'g'))"
+    return _sql_spelled(f"trim(regexp_replace({lines}, '[ \n]+', ' ', 'g'))")
+
+
+def _sql_spelled(whole: str) -> str:
     for pattern, replacement in SPELLINGS.items():
         whole = f"regexp_replace({whole}, {_sql_text(pattern)}, {_sql_text(replacement)}, 'g')"
     return whole
@@ -243,8 +252,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_KNOWN = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in LICENCE_TEXTS.items())
-_NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in NOTICES.items())
+_KNOWN = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in published_texts())
+_NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in (NOTICES | MORE_NOTICES).items())
 
 
 @query(
@@ -252,12 +261,12 @@ _NOTICES = ", ".join(f"({_sql_text(line)}, {_sql_text(name)})" for line, name in
     WITH known AS (
         SELECT sha256(whole) AS digest, min(name) AS licence
         FROM (SELECT name, {_sql_whole(_sql_canonical("text"))} AS whole FROM (VALUES {_KNOWN}) t(name, text)) GROUP BY 1),
-    notice AS (SELECT trim({_sql_canonical("line")}) AS line, name FROM (VALUES {_NOTICES}) t(line, name)),
+    notice AS (SELECT DISTINCT {_sql_spelled(f'trim({_sql_canonical("line")})')} AS line, name FROM (VALUES {_NOTICES}) t(line, name)),
     doc AS (SELECT row_number() OVER () AS row, doc_id, {_sql_canonical("text")} AS lines FROM documents),
     found AS (
         SELECT row, string_agg(name, ',' ORDER BY name) AS notices
         FROM (SELECT DISTINCT row, name FROM (SELECT row, unnest(string_split(lines, chr(10))) AS line FROM doc) d
-              JOIN notice ON trim(d.line) = notice.line)
+              JOIN notice ON {_sql_spelled("trim(d.line)")} = notice.line)
         GROUP BY row)
     SELECT doc_id, CASE WHEN whole <> '' THEN sha256(whole) END AS digest, licence, coalesce(notices, '') AS notices
     FROM (SELECT *, {_sql_whole("lines")} AS whole FROM doc) d
