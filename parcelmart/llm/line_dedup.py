@@ -7,8 +7,8 @@ form a class, which takes part once, with its first line.
 The tokens of a line are ordered rare before common, and by hash among equals; lines that are similar
 enough share a token within a prefix of any such order. Rarity is how often a token stands in the
 prefixes by hash, counted over all lines, which is what its list of candidates would be: the tokens
-above a share of all postings are common, and the prefixes that hold one are taken anew. Pairs that
-meet are dropped by the length filter, the positional filter and by the parities of how many tokens
+above a share of all postings are common, by the binary logarithm of their count, and the prefixes that hold one
+are taken anew. Pairs that meet are dropped by the length filter, the positional filter and by the parities of how many tokens
 fall into each of 256 parts (where they differ, a token is not shared); the rest is verified on the whole
 sets.
 A line goes when an earlier line is similar.
@@ -28,6 +28,8 @@ OTHER_BLANKS = ["\t", "\x0b", "\x0c", "\r", "  "]
 COMMON_SHARE = 1 << 12  # a token is common if it has more than this part of all postings, so fewer are
 LEAST_COMMON = 64  # and more than this number of them
 CELL_BITS = 15  # size of the table of common tokens, which stands in the plan
+RARE = b"0"  # in that table; a common token has a digit or letter by its count
+LEVELS = b"123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKEN_BITS = 23  # size of the filter for tokens that lines share
 FILTER_BITS = 22  # size of the filter for lines to verify
 
@@ -162,9 +164,11 @@ def _mark(key: Column, common: bytes) -> Column:
 
 
 def _common_last(keys: Column, common: bytes) -> Column:
-    """Sorted keys, with those whose cell is marked in ``common`` moved behind the others."""
-    rare = F.filter(keys, lambda k: _mark(k, common) != F.lit(b"1"))
-    return F.concat(rare, F.filter(keys, lambda k: _mark(k, common) == F.lit(b"1")))
+    """Sorted keys, with those whose cell has a level in ``common`` behind the others, by level and key."""
+    rare = F.filter(keys, lambda k: _mark(k, common) == F.lit(RARE))
+    rest = F.filter(keys, lambda k: _mark(k, common) != F.lit(RARE))
+    ranked = F.sort_array(F.transform(rest, lambda k: F.struct(_mark(k, common).alias("level"), k.alias("key"))))
+    return F.concat(rare, F.transform(ranked, lambda x: x["key"]))
 
 
 PLACE = ["doc_id", "version", "line"]
@@ -211,13 +215,15 @@ class _Lines:
         counted = self._postings(lines).groupBy("token").agg(F.count("*").alias("count"), F.min("cls").alias("low"), F.max("cls").alias("high"))
         often = written(counted.filter("low <> high").select("token", "count"), "line-tokens")
         total = lines.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
-        common = often.filter(F.col("count") > max(LEAST_COMMON, total / COMMON_SHARE))
-        cell = F.shiftrightunsigned("token", 64 - CELL_BITS)
-        marked = {row["cell"] for row in common.select(cell.alias("cell")).distinct().collect()}  # fewer than COMMON_SHARE
+        least = max(LEAST_COMMON, total / COMMON_SHARE)
+        common = often.filter(F.col("count") > least)
+        cell = F.shiftrightunsigned("token", 64 - CELL_BITS).alias("cell")
+        level = F.floor(F.log2(F.max("count") / F.lit(float(least)))).cast("int").alias("level")
+        marked = {row["cell"]: row["level"] for row in common.groupBy(cell).agg(level).collect()}  # fewer than COMMON_SHARE
         hashes = often.select(F.xxhash64("token").alias("h"))
         if marked:
-            table = bytes(ord("1") if k in marked else ord("0") for k in range(1 << CELL_BITS))
-            changed = F.exists("prefix", lambda k: _mark(k, table) == F.lit(b"1"))
+            table = bytes(LEVELS[min(marked[k], len(LEVELS) - 1)] if k in marked else RARE[0] for k in range(1 << CELL_BITS))
+            changed = F.exists("prefix", lambda k: _mark(k, table) != F.lit(RARE))
             again = written(lines.filter(changed).select(*PLACE, "cls"), "line-again")
             anew = written(
                 self._sets(again, "line-again").join(again.select("cls").distinct(), "cls", "left_semi").select(

@@ -2,7 +2,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from parcelmart.llm import line_dedup
 from parcelmart.llm.line_dedup import dedup_lines, repeated_lines
 
 SCHEMA = "doc_id long, text string, line int, gone_lines string, version long"
@@ -48,13 +50,30 @@ def corpus(seed, size):
     return rows
 
 
-@pytest.mark.parametrize("seed,percent,shingle", [(1, 80, 5), (2, 60, 2), (4, 80, 1)])
+@pytest.mark.parametrize("seed,percent,shingle", [(1, 80, 5), (2, 60, 2), (3, 100, 5), (4, 80, 1), (5, 60, 3)])
 def test_against_brute_force(spark, seed, percent, shingle):
     rows = corpus(seed, 40)
     got = {(r.doc_id, r.line) for r in repeated_lines(frame(spark, rows), percent, shingle).collect()}
     assert got == {(row[0], n) for row, n in brute(rows, percent, shingle)}
 
 
+@pytest.mark.parametrize("least,percent,shingle", [(1, 60, 1), (3, 80, 2)])
+def test_common_tokens_of_many_levels(spark, monkeypatch, least, percent, shingle):
+    monkeypatch.setattr(line_dedup, "LEAST_COMMON", least)
+    rows = corpus(6, 40)
+    got = {(r.doc_id, r.line) for r in repeated_lines(frame(spark, rows), percent, shingle).collect()}
+    assert got == {(row[0], n) for row, n in brute(rows, percent, shingle)}
+
+
+def test_common_tokens_stand_behind_rare_ones_by_count(spark):
+    levels = bytearray(line_dedup.RARE * (1 << line_dedup.CELL_BITS))
+    keys = [k << (64 - line_dedup.CELL_BITS) for k in range(1, 7)]  # in cells 1 to 6
+    for cell, level in ((1, b"3"), (2, b"1"), (4, b"3"), (5, b"A")):
+        levels[cell : cell + 1] = level
+    row = spark.createDataFrame([(keys,)], "keys array<long>").select(line_dedup._common_last(F.col("keys"), bytes(levels)).alias("keys")).first()
+    assert [k >> (64 - line_dedup.CELL_BITS) for k in row["keys"]] == [3, 6, 2, 1, 4, 5]
+
+
 EDGES = [
     (3, "One two  three\n\nfour FIVE"), (1, None), (2, ""), (4, "four five\none\ttwo\vthree\r\n \n\t\n"), (5, "four five\none\ttwo\vthree\r\n \n\t\n"),
     (5, "four five\none\ttwo\vthree\r\n \n\t\n"), (None, " one two three\nnull only"), (6, "x y z " * 20000 + "\nNULL ONLY"), (7, "z x y z x y z x y\t"),
