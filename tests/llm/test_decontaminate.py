@@ -54,7 +54,7 @@ def corpus(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("seed,n,threshold,block", [(1, 5, 0.8, 10**6), (2, 3, 0.6, 60), (3, 1, 1.0, 100)])
+@pytest.mark.parametrize("seed,n,threshold,block", [(1, 5, 0.8, 10**6), (2, 3, 0.6, 60), (3, 1, 1.0, 100), (4, 5, 0.5, 100)])
 def test_against_brute_force(spark, seed, n, threshold, block):
     docs, items = corpus(seed)
     assert leaks(spark, docs, items, n, threshold, block_shingles=block) == brute(docs, items, n, threshold)

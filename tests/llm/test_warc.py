@@ -31,7 +31,7 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("split", [37, 100, 500, 1 << 20])
+@pytest.mark.parametrize("split", [1, 37, 100, 500, 1 << 20])
 def test_every_split_gives_every_record_once(spark, split):
     made = archives(spark, ROWS, target_bytes=700)
     got = [r.asDict() for r in read_records(made, split_bytes=split).collect()]
