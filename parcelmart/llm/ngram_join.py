@@ -3,11 +3,13 @@
 Rows with equal sets form a class and take part once. N-grams are ordered rare first by a table of
 frequencies over all documents; two sets that are similar enough share an n-gram within a prefix
 of that order, so classes meet on their prefix n-grams only. Of those that meet, pairs are dropped by
-the length filter, by the positional filter (too few n-grams left after the shared one) and by
-the suffix filter: the sets are cut into 256 parts by hash, and at least as many n-grams are not
-shared as the sizes of the parts differ, summed over the parts. While pairs are joined, this is done
-with the parities of the sizes, then with the sizes themselves. What is left is verified once per
-pair on the whole sets.
+the length filter and by the positional filter (too few n-grams left after the shared one). Before
+sets are moved, pairs are also dropped by part sizes: the sets are cut into 256 parts by hash, and at
+least as many n-grams are not shared as the sizes of the parts differ, summed over the parts; while pairs
+are joined, with the parities of the sizes, then with the sizes themselves. Where both sets are at
+hand, the suffix filter takes what stands behind the first shared n-gram: the middle n-gram of one rest
+cuts both, the parts' sizes bound what is not shared, and the parts are cut again. What is left is
+verified once per pair on the whole sets.
 
 N-grams and classes are 64-bit hashes; two that differ are taken as one with a probability of
 2**-64 per pair.
@@ -31,6 +33,7 @@ BLOCK = 4096  # cells of one row of counts
 FILTER_BITS = 23
 PARITY = ["p0", "p1", "p2", "p3"]
 PARTS = 256
+DEPTH = 4  # how often the suffix filter cuts
 KEY = "near duplicate key"
 SETS = "doc_id long, n int, cls long, p0 long, p1 long, p2 long, p3 long, parts binary, block int, counts binary"
 
@@ -46,6 +49,12 @@ def _classes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix((total[bounds[1:]] - total[bounds[:-1]]) ^ np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def _rare_first(hashes: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by row, rank and hash of n-grams sorted by hash within rows; and each n-gram's row."""
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    return np.argsort(row * 256 + ranks[_cells(hashes)], kind="stable"), row
+
+
 def _part_sizes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each row the number of n-grams in each of 256 parts."""
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -114,8 +123,7 @@ def _prefixes(words: int, percent: int, ranks) -> Callable[[Iterator[pa.RecordBa
             for _, _, hashes, bounds in shingle_sets(batch.column(0), words):
                 n = np.diff(bounds)
                 cls = _classes(hashes, bounds)
-                row = np.repeat(np.arange(len(n)), n)
-                order = np.argsort(row * 256 + ranks.value[_cells(hashes)], kind="stable")  # equal ranks by hash
+                order, row = _rare_first(hashes, bounds, ranks.value)
                 pos = np.arange(len(hashes)) - bounds[:-1][row]
                 keep = n + (-percent * n) // 100 + 1  # n less the least overlap with a similar set, and one
                 once = np.zeros(len(n), bool)
@@ -135,8 +143,8 @@ def _prefixes(words: int, percent: int, ranks) -> Callable[[Iterator[pa.RecordBa
     return prefixes
 
 
-def _wanted_sets(words: int, wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(cls, grams) of the rows whose class may be wanted, by a table of bits."""
+def _wanted_sets(words: int, wanted, ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(cls, grams) of the rows whose class may be wanted, by a table of bits; n-grams are rare first."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
@@ -145,7 +153,8 @@ def _wanted_sets(words: int, wanted) -> Callable[[Iterator[pa.RecordBatch]], Ite
             marked = bits[(mix(ids) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] | ~np.asarray(batch.column(0).is_valid())
             chosen = batch.filter(pa.array(marked))
             for _, _, hashes, bounds in shingle_sets(chosen.column(1), words):
-                grams = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
+                order, _ = _rare_first(hashes, bounds, ranks.value)
+                grams = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes[order].view(np.int64)))
                 yield pa.record_batch([pa.array(_classes(hashes, bounds)), grams], names=["cls", "grams"])
 
     return sets
@@ -159,31 +168,87 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sizes_allow(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of pairs (a, b, n_a, n_b, parts_a, parts_b) those that the sizes of the parts do not rule out."""
+    """Of pairs (a, b, n_a, n_b, first, parts_a, parts_b) those that the sizes of the parts do not rule out."""
 
     def allow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int64) for k in (4, 5))
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int64) for k in (5, 6))
             apart = np.abs(a - b).sum(1)
             both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            yield batch.select([0, 1, 2, 3]).filter(pa.array((100 + percent) * (both - apart) >= 2 * percent * both))
+            yield batch.select([0, 1, 2, 3, 4]).filter(pa.array((100 + percent) * (both - apart) >= 2 * percent * both))
 
     return allow
 
 
+def _first_from(keys: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each row the first place in ``low`` .. ``high`` of the sorted keys that is not below the wanted one."""
+    while (open_ := low < high).any():
+        middle = (low + high) // 2
+        below = open_ & (keys[np.where(open_, middle, 0)] < wanted)
+        low, high = np.where(below, middle + 1, low), np.where(open_ & ~below, middle, high)
+    return low
+
+
+def unshared(
+    a: np.ndarray, a_low: np.ndarray, a_high: np.ndarray, b: np.ndarray, b_low: np.ndarray, b_high: np.ndarray, depth: int = DEPTH
+) -> np.ndarray:
+    """For each row a lower bound on the keys that only one of two sorted runs holds, ``a`` from a_low to
+    a_high and ``b`` from b_low to b_high. The middle key of b's run cuts both runs in two."""
+    sizes = np.abs((a_high - a_low) - (b_high - b_low))
+    cut = np.flatnonzero((a_high > a_low) & (b_high > b_low))
+    if not depth or not len(cut):
+        return sizes
+    a_low, a_high, b_low, b_high = a_low[cut], a_high[cut], b_low[cut], b_high[cut]
+    pivot = b[(b_low + b_high) // 2]
+    in_a, in_b = _first_from(a, a_low, a_high, pivot), _first_from(b, b_low, b_high, pivot)
+    met = (in_a < a_high) & (a[np.where(in_a < a_high, in_a, 0)] == pivot)
+    left = unshared(a, a_low, in_a, b, b_low, in_b, depth - 1)
+    right = unshared(a, in_a + met, a_high, b, in_b + 1, b_high, depth - 1)
+    sizes[cut] = left + right + ~met
+    return sizes
+
+
+def _verify(percent: int, ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of pairs (a, b, n_a, n_b, first, grams_a, grams_b), ``first`` being the places of the first shared
+    n-gram, those that are similar, with their overlap: the suffix filter, then the whole sets."""
+
+    def runs(grams: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes = grams.flatten().to_numpy().view(np.uint64)
+        bounds = np.concatenate([[0], np.cumsum(grams.value_lengths().to_numpy())])
+        # keys in the order of the n-grams; two n-grams with one key only weaken the bound
+        return hashes, (ranks.value[_cells(hashes)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8)), bounds
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, first = (batch.column(k).to_numpy() for k in (2, 3, 4))
+            a, keys_a, bounds_a = runs(batch.column(5))
+            b, keys_b, bounds_b = runs(batch.column(6))
+            behind_a, behind_b = bounds_a[:-1] + (first >> 32) + 1, bounds_b[:-1] + (first & 0xFFFFFFFF) + 1
+            apart = unshared(keys_a, behind_a, bounds_a[1:], keys_b, behind_b, bounds_b[1:])
+            rest = bounds_a[1:] - behind_a + bounds_b[1:] - behind_b
+            left = np.flatnonzero((100 + percent) * (2 + rest - apart) >= 2 * percent * (n_a + n_b))
+            ends = zip(bounds_a[left], bounds_a[left + 1], bounds_b[left], bounds_b[left + 1], strict=True)
+            overlap = np.array([len(np.intersect1d(a[i:j], b[k:m], assume_unique=True)) for i, j, k, m in ends], np.int64)
+            similar = (100 + percent) * overlap >= percent * (n_a + n_b)[left]
+            kept = batch.select([0, 1, 2, 3]).take(pa.array(left[similar]))
+            yield pa.record_batch([*kept.columns, pa.array(overlap[similar])], names=["a", "b", "n_a", "n_b", "overlap"])
+
+    return verify
+
+
 def _similar(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
     """Whether an overlap of that size (or a bound on it) is enough."""
     return (100 + percent) * overlap >= percent * (n_a + n_b)
 
 
 def _close(percent: int, a: str, b: str) -> Column:
-    """Length, positional and suffix filter for rows ``a`` and ``b`` with a shared n-gram."""
+    """Length and positional filter, and that by the parities of part sizes, for rows ``a`` and ``b`` with a shared n-gram."""
     n_a, n_b = F.col(f"{a}.n").cast("long"), F.col(f"{b}.n").cast("long")
     left = F.least(n_a - F.col(f"{a}.pos"), n_b - F.col(f"{b}.pos"))
     apart = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITY), F.lit(0))
     length = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    suffix = (100 + percent) * (n_a + n_b - apart) >= 2 * percent * (n_a + n_b)  # the overlap is at most half of n_a + n_b - apart
-    return length & _similar(percent, left, n_a, n_b) & suffix
+    parts = (100 + percent) * (n_a + n_b - apart) >= 2 * percent * (n_a + n_b)  # the overlap is at most half of n_a + n_b - apart
+    return length & _similar(percent, left, n_a, n_b) & parts
 
 
 class _Join:
@@ -202,9 +267,9 @@ class _Join:
             .agg(F.min("doc_id").alias("root"), F.count("*").alias("rows"), *(F.first(p).alias(p) for p in [*PARITY, "parts"])),
             "ngram-classes",
         )
-        ranks = self.spark.sparkContext.broadcast(_ranks(described))
+        self.ranks = self.spark.sparkContext.broadcast(_ranks(described))
         postings = written(
-            mapped(self.rows.select("text"), _prefixes(words, percent, ranks), "token long, cls long, n int, pos int"), "ngram-prefixes"
+            mapped(self.rows.select("text"), _prefixes(words, percent, self.ranks), "token long, cls long, n int, pos int"), "ngram-prefixes"
         )
         often = postings.groupBy("token").count().filter("count > 1").select("token")
         met = written(
@@ -215,10 +280,10 @@ class _Join:
         self.shared = met.join(pivots, "token")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs of classes (a, b, n_a, n_b) that are similar, with their overlap."""
+        """The pairs of classes (a, b, n_a, n_b, first) that are similar, with their overlap."""
         parts = lambda side: self.classes.select(F.col("cls").alias(side), F.col("parts").alias(f"parts_{side}"))
-        sized = pairs.join(parts("a"), "a").join(parts("b"), "b").select("a", "b", "n_a", "n_b", "parts_a", "parts_b")
-        pairs = written(mapped(sized, _sizes_allow(self.percent), "a long, b long, n_a long, n_b long"), "ngram-candidates")
+        sized = pairs.join(parts("a"), "a").join(parts("b"), "b").select("a", "b", "n_a", "n_b", "first", "parts_a", "parts_b")
+        pairs = written(mapped(sized, _sizes_allow(self.percent), "a long, b long, n_a long, n_b long, first long"), "ngram-candidates")
         ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
         ends = written(ends.join(self.classes.select("cls", "root"), "cls"), "ngram-ends")
         marks = mapped(ends.select("root").filter("root is not null"), _mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
@@ -227,23 +292,31 @@ class _Join:
             words[row["word"]] = row["bits"]
         wanted = self.spark.sparkContext.broadcast(np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool))
         # the rows that roots name; a row that comes twice or is not wanted changes no distinct pair
-        sets = written(mapped(self.rows, _wanted_sets(self.words, wanted), "cls long, grams array<long>"), "ngram-verify")
+        sets = written(mapped(self.rows, _wanted_sets(self.words, wanted, self.ranks), "cls long, grams array<long>"), "ngram-verify")
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")), "a").join(
             sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")), "b"
         )
-        both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("overlap"))
-        return written(both.filter(_similar(self.percent, F.col("overlap"), F.col("n_a"), F.col("n_b"))).distinct(), "ngram-links")
+        both = both.select("a", "b", "n_a", "n_b", "first", "grams_a", "grams_b")
+        verified = mapped(both, _verify(self.percent, self.ranks), "a long, b long, n_a long, n_b long, overlap long")
+        return written(verified.distinct(), "ngram-links")
 
     def _pairs(self, left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
         met = left.alias("x").join(right.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & _close(self.percent, "x", "y"))
         ordered = F.col("x.cls") < F.col("y.cls")
         pick = lambda name, a, b: F.when(ordered, F.col(f"{a}.{name}")).otherwise(F.col(f"{b}.{name}"))
-        return met.select(
-            pick("cls", "x", "y").alias("a"),
-            pick("cls", "y", "x").alias("b"),
-            pick("n", "x", "y").cast("long").alias("n_a"),
-            pick("n", "y", "x").cast("long").alias("n_b"),
-        ).distinct()
+        # a similar pair also meets on the first n-gram it shares, which has the least place in both
+        first = F.shiftleft(pick("pos", "x", "y").cast("long"), 32).bitwiseOR(pick("pos", "y", "x").cast("long"))
+        return (
+            met.select(
+                pick("cls", "x", "y").alias("a"),
+                pick("cls", "y", "x").alias("b"),
+                pick("n", "x", "y").cast("long").alias("n_a"),
+                pick("n", "y", "x").cast("long").alias("n_b"),
+                first.alias("first"),
+            )
+            .groupBy("a", "b", "n_a", "n_b")
+            .agg(F.min("first").alias("first"))
+        )
 
     def all_links(self) -> DataFrame:
         """Every similar pair of classes."""

@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from parcelmart.llm.graph import components
-from parcelmart.llm.ngram_join import near_duplicates, one_of_each, similar_pairs
+from parcelmart.llm.ngram_join import near_duplicates, one_of_each, similar_pairs, unshared
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 SCHEMA = "doc_id long, text string, n int, cls long, gone string"
@@ -101,6 +102,21 @@ def test_one_of_each_stays(spark):
     assert kept == {c for _, _, c in expected(rows, 2, 70)}
 
 
+@pytest.mark.parametrize("span", [12, 60, 400])
+def test_suffix_filter_bounds_what_is_not_shared(span):
+    random = np.random.default_rng(span)
+    runs = lambda: [np.sort(random.integers(0, span, random.integers(0, 60))).astype(np.uint64) for _ in range(200)]
+    a, b = runs(), runs()
+    a[:50] = [np.sort(np.delete(x, range(min(len(x), k % 3)))) for k, x in enumerate(b[:50])]  # nearly the same
+    ends = lambda rows: np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    count = lambda x: np.bincount(x.astype(int), minlength=span)
+    true = np.array([np.abs(count(x) - count(y)).sum() for x, y in zip(a, b, strict=True)])
+    ends_a, ends_b = ends(a), ends(b)
+    found = [unshared(np.concatenate(a), ends_a[:-1], ends_a[1:], np.concatenate(b), ends_b[:-1], ends_b[1:], d) for d in range(9)]
+    assert all((x <= true).all() for x in found) and all((x <= y).all() for x, y in zip(found, found[1:], strict=False))
+    assert (found[0] == np.abs(np.diff(ends_a) - np.diff(ends_b))).all() and found[8].sum() > 0.95 * true.sum()
+
+
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).collect() == [] and one_of_each(frame(spark, [])).collect() == []
 
