@@ -3,15 +3,16 @@
 Equal vectors form a class and are indexed once, since copies of one vector would fill each other's
 neighbour lists and cut the graph off. Classes are dealt to shards of bounded size by hash. A shard's
 graph is kept as flat arrays: its vectors, the level of each node, and the neighbour lists of all
-levels one after the other. Queries are dealt in blocks; each block searches each shard, and the
-shards' answers are merged by distance.
+levels one after the other. Each shard's graph is loaded once for a block of queries, which pass by it as a
+stream; blocks are so large that queries, not graphs, are what is sent. The shards' answers are
+merged by distance.
 
 Inserting and searching work on many points at a time: all beams of a batch take one step together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import written
+from parcelmart.llm.common import mapped, written
 
 INDEX = "dim int, shard int, size int, vectors binary, members array<array<long>>, levels binary, links binary"
 FOUND = "rep long, members array<long>, score double"
@@ -257,24 +258,32 @@ def _build(degree: int, beam: int) -> Callable[[pa.Table], pa.Table]:
     return build
 
 
-def _search(degree: int, beam: int, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def search(index: pa.Table, queries: pa.Table) -> pa.Table:
-        reps, members, scores = [], [], []
-        if len(index) and len(queries):
-            dim = index["dim"][0].as_py()
-            vectors = np.frombuffer(index["vectors"][0].as_py(), np.float64).reshape(-1, dim)
-            graph = Graph.from_flat(vectors, index["levels"][0].as_py(), index["links"][0].as_py(), degree)
-            own = index["members"][0].as_py()
-            nodes, near = graph.search(_matrix(queries["vector"], dim), k, beam)
-            for rep, row, distances in zip(queries["rep"].to_pylist(), nodes.tolist(), near.tolist(), strict=True):
-                for node, distance in zip(row, distances, strict=True):
-                    if node >= 0:
-                        reps.append(rep)
-                        members.append(own[node])
-                        scores.append(distance)
-        return pa.table(
-            {"rep": pa.array(reps, pa.int64()), "members": pa.array(members, pa.list_(pa.int64())), "score": pa.array(scores, pa.float64())}
-        )
+def _search(degree: int, beam: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(rep, members, score) of the nearest classes found for queries (dim, shard, block, rep, vector), which come
+    sorted by their first three columns, each block behind a row without rep that holds the shard's graph.
+    A graph is loaded once for its block, and queries are taken a batch at a time."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, graph, own = None, None, []
+        for batch in batches:
+            places = np.stack([batch.column(c).to_numpy() for c in range(3)], 1)
+            is_graph = np.asarray(batch["rep"].is_null())
+            cut = np.ones(len(places), bool)
+            cut[1:] = (places[1:] != places[:-1]).any(1) | is_graph[1:] | is_graph[:-1]
+            starts = np.flatnonzero(cut).tolist()
+            for first, end in zip(starts, [*starts[1:], len(places)], strict=True):
+                here, dim = tuple(places[first].tolist()), int(places[first, 0])
+                if is_graph[first]:
+                    vectors = np.frombuffer(batch["vectors"][first].as_py(), np.float64).reshape(-1, dim)
+                    graph = Graph.from_flat(vectors, batch["levels"][first].as_py(), batch["links"][first].as_py(), degree)
+                    place, own = here, batch["members"][first].as_py()
+                elif here == place:  # a shard that no vector of this length fell into has no graph
+                    rows = batch.slice(first, end - first)
+                    nodes, near = graph.search(_matrix(rows["vector"], dim), k, beam)
+                    found = nodes >= 0
+                    reps = np.repeat(rows["rep"].to_numpy(), found.sum(1))
+                    members = pa.array([own[node] for node in nodes[found].tolist()], pa.list_(pa.int64()))
+                    yield pa.record_batch([pa.array(reps), members, pa.array(near[found])], names=["rep", "members", "score"])
 
     return search
 
@@ -289,8 +298,8 @@ def nearest_neighbours(
     vectors: DataFrame,
     is_query: Column,
     k: int = 10,
-    shard_rows: int = 8192,
-    block_rows: int = 4096,
+    shard_rows: int = 16384,
+    block_rows: int = 65536,
     degree: int = 12,
     build_beam: int = 64,
     search_beam: int = 256,
@@ -334,7 +343,10 @@ def nearest_neighbours(
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["dim", "shard", "block"]
-    found = spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_search(degree, search_beam, k + 1), FOUND)
+    both = spread.select(*keys, "vectors", "members", "levels", "links").unionByName(asked, allowMissingColumns=True)
+    stream = both.repartition(*keys).sortWithinPartitions(*keys, F.col("rep").isNotNull())
+    stream = stream.select(*keys, "rep", "vector", "vectors", "members", "levels", "links")
+    found = mapped(stream, _search(degree, search_beam, k + 1), FOUND)
     nearest_first = Window.partitionBy("rep").orderBy("score", "vec_id")
     merged = (
         found.select("rep", "score", F.explode("members").alias("vec_id"))

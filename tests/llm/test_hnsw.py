@@ -59,6 +59,12 @@ def test_small_shards_are_searched_whole_and_merged(spark):
     assert collect(near(spark, rows, shard_rows=30, block_rows=4)) == brute(rows, 10)
 
 
+def test_shards_without_vectors_of_a_length_answer_nothing(spark):
+    random = np.random.default_rng(4)
+    rows = [(i, random.normal(size=3 if i % 20 == 0 else 4).astype(np.float32).tolist()) for i in range(140)]
+    assert collect(near(spark, rows, shard_rows=5, block_rows=2)) == brute(rows, 10)
+
+
 def test_ties_repeats_and_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(25)] + [(i, [1.0, float(i)]) for i in range(25, 32)]
