@@ -27,9 +27,9 @@ from parcelmart.llm.common import mapped
 
 MARKER = "▁"
 UNKNOWN_TEXT = " ⁇ "
-CACHED = 600_000  # cuts a worker keeps; beyond it starts anew
-CACHED_CHARACTERS = 1 << 26  # and characters of them, as texts without blanks are cuts as long as they are
-CHARACTERS = 1 << 20  # about so many characters are encoded at a time
+CACHED = 150_000  # cuts a worker keeps; beyond it starts anew
+CACHED_CHARACTERS = 1 << 24  # and characters of them, as texts without blanks are cuts as long as they are
+CHARACTERS = 1 << 18  # about so many characters are encoded at a time
 
 _CUTS = re.compile(" +[^ ]+| +$")
 
@@ -312,6 +312,7 @@ def _encode(model, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _ENCODERS:
             _ENCODERS.clear()
+            pa.default_memory_pool().release_unused()  # a worker may come from an earlier step
             _ENCODERS[key] = Encoder(model.value)
         encoder = _ENCODERS[key]
         for batch in batches:
