@@ -463,7 +463,7 @@ def staging_orders(spark, sf_dir):
 )
 def records_json(spark, sf_dir):
     path = scratch_path(spark, "records")
-    normalized(spark, sf_dir).write.json(path)
+    normalized(spark, sf_dir).write.json(path, compression="gzip")
     back = spark.read.schema(EXPORT_ORDER).json(path)
     names = "order_id event_date province cod_type order_value return_flag return_reason".split()
     return plain(back.select(*names))
