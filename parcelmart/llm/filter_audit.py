@@ -18,7 +18,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import written
+from parcelmart.llm.common import release, written
 from parcelmart.operators.buckets import Bucketed, write_buckets
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -31,9 +31,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def _survivors(universe: Bucketed, failing: list[Bucketed], buckets: int) -> tuple[DataFrame, DataFrame]:
     """Counts by set of filters (as bits): (prefix, part, kind, n) of the rows that survive it, and
-    (prefix, filter, part, kind, n) of those that the filter removes after it. Drops ``universe``."""
+    (prefix, filter, part, kind, n) of those that the filter removes after it. Drops ``universe``. Each size
+    begins by giving back what the driver planned and broadcast for the one before."""
     kept, removed, level = [], [], universe
     for size in range(len(failing) + 1):
+        release(universe.spark)
         rows = level.rows
         kept.append(written(rows.groupBy("prefix", "part", "kind").agg(F.count("*").alias("n")), "audit-kept"))
         if size == len(failing):
@@ -48,6 +50,7 @@ def _survivors(universe: Bucketed, failing: list[Bucketed], buckets: int) -> tup
                 further.append(lower_sets.join(ids.rows, "id", "left_anti").withColumn("prefix", F.col("prefix").bitwiseOR(bit)))
         lost = _union(losses).groupBy("prefix", "filter", "part", "kind").agg(F.count("*").alias("n"))
         removed.append(written(lost, "audit-removed"))
+        release(universe.spark)
         below, level = level, write_buckets(_union(further), "id", buckets, "audit_level", shuffle=False)
         below.drop()
     level.drop()

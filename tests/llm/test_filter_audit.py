@@ -6,6 +6,7 @@ from math import factorial
 import pytest
 from pyspark.sql import functions as F
 
+from parcelmart.llm import filter_audit
 from parcelmart.llm.filter_audit import audit, audit_documents
 
 DOCS = "doc_id long, id string, text string, part string, lang string, n_chars long, prefix int, kind string"
@@ -97,3 +98,11 @@ def test_other_filters_and_no_shuffle_in_joins(spark):
     assert last["xyz"].removed == sum(i % 2 and i % 3 and not i % 5 for i in range(1000)) == last["xyz"].odd_lost == last["yxz"].unique_fails
     assert last["xyz"].redundant == 200 - last["xyz"].removed
     assert spark.sql("SHOW TABLES LIKE 'parcelmart_*'").count() == 0
+
+
+def test_the_driver_gives_back_memory_between_sizes(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(filter_audit, "release", calls.append)
+    rows = spark.range(20).select("id", F.lit("all").alias("part"))
+    audit(rows, {f: rows.filter(F.col("id") % n == 0) for f, n in {"x": 2, "y": 3}.items()}, {}).collect()
+    assert len(calls) == 2 * 2 + 1  # twice a size, once for the last
