@@ -36,5 +36,7 @@ def numbered(df: DataFrame, groups: list[str], order: list[Column], name: str =
     same = [F.col(f"r.`{FILE}`") == F.col(f"o.`{FILE}`")]
     same += [F.col(f"r.`{g}`").eqNullSafe(F.col(f"o.`{g}`")) for g in groups]
     number = (F.col(f"r.`{AT}`") + F.col("o.offset")).cast("long").alias(name)
+    if not groups:  # a row per file
+        offsets = F.broadcast(offsets)
     joined = rows.alias("r").join(offsets.alias("o"), reduce(and_, same))
     return joined.select(*[F.col(f"r.`{c}`") for c in df.columns], number)

@@ -33,3 +33,11 @@ def test_no_window_holds_a_group(spark):
     plan = numbered(df, ["g"], [F.col("id")])._jdf.queryExecution().optimizedPlan().toString()
     window = plan[plan.index("Window") :]
     assert "Aggregate" in window and "row_number" not in plan
+
+
+def test_numbers_of_a_whole_table_do_not_shuffle_its_rows_again(spark):
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("value"))
+    got = numbered(df, [], [F.col("value"), F.col("id")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [r.id for r in got.orderBy("position").collect()] == sorted(range(100), key=lambda i: (i % 7, i))
