@@ -22,8 +22,12 @@ class Bucketed:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def drop(self) -> None:
+    def forget(self) -> None:
+        """Out of the catalog; the files stay for the plans that were made of ``rows``."""
         self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+
+    def drop(self) -> None:
+        self.forget()
         drop_path(self.spark, self.path)
 
 

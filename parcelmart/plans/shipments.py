@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelmart.operators.buckets import Bucketed, write_buckets
 from parcelmart.schemas import EXPORT_FIELDS
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -109,14 +110,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
-def line_items(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
-    """Line items joined with the given tables, each on its unique key.
+def line_items(spark: SparkSession, sf_dir: str, tables: list[str], part_first: bool = False) -> DataFrame:
+    """Line items joined with the given tables, each on its unique key. Parts come after orders, since
+    filters on orders come before them; ``part_first`` is for rows that are all kept: they then meet
+    parts while they are narrow.
 
     Line items and orders are both large, so they are merged: broadcasting one of them,
     as Spark would on small test tables, would also leave all later work to the few
     input splits of the other. Hot order or part keys are split by the adaptive skew
     join."""
     lines = table(spark, sf_dir, "lineitem")
+
+    def with_parts(rows: DataFrame) -> DataFrame:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+        return rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+
+    if "part" in tables and part_first:
+        lines = with_parts(lines)
     if "orders" in tables:
         orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
         if "customer" in tables:
@@ -129,9 +139,8 @@ def line_items(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame
             )
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         lines = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if "part" in tables:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-        lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    if "part" in tables and not part_first:
+        lines = with_parts(lines)
     if "supplier" in tables:
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
         lines = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -139,15 +148,23 @@ def line_items(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame
 
 
 def shipments(
-    spark: SparkSession, sf_dir: str, fields: list[str] = EXPORT_FIELDS, keys: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    fields: list[str] = EXPORT_FIELDS,
+    keys: bool = False,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """The given fields of every shipment, with the line item's keys if wanted."""
-    tables = sorted({t for f in fields for t in FIELDS[f][1]})
-    rows = line_items(spark, sf_dir, tables)
+    """The given fields of every shipment, with the line item's keys if wanted; of ``lines`` if
+    they are joined already."""
+    rows = lines if lines is not None else line_items(spark, sf_dir, tables_of(fields))
     columns = [F.expr(FIELDS[f][0]).alias(f) for f in fields]
     return rows.select(*(KEYS if keys else []), *columns)
 
 
+def tables_of(fields: list[str]) -> list[str]:
+    return sorted({t for f in fields for t in FIELDS[f][1]})
+
+
 def carrier_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows with the supplier as carrier, so that marts have many expeditions."""
     return shipments(spark, sf_dir, EXPORT_FIELDS + ["carrier"])
@@ -225,33 +242,46 @@ LINE_COLUMNS = KEYS + [
 PAGE_ORDERS = 100
 
 
-def json_orders(spark: SparkSession, sf_dir: str, fields: list[str], shape: str) -> DataFrame:
-    """(source columns …, order_json): one nested JSON order per line item."""
-    tables = sorted({t for f in fields for t in FIELDS[f][1]})
-    rows = line_items(spark, sf_dir, tables).select(
-        *LINE_COLUMNS, *[F.expr(FIELDS[f][0]).alias(f) for f in fields]
-    )
-    return rows.select(*LINE_COLUMNS, F.to_json(F.expr(shape)).alias("order_json"))
+SOURCE_COLUMNS = LINE_COLUMNS + [
+    "l_shipdate", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_mktsegment", "r_name", "n_name", "p_type",
+]
 
 
-def json_pages(
-    spark: SparkSession, sf_dir: str, fields: list[str], shape: str, list_name: str
-) -> DataFrame:
-    """(page, payload): pages of about 100 orders.
+def paged(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines with the page that their order is on.
 
     Orders are spread over the pages by a hash of the whole line item, so pages stay
     small whatever keys are hot, and a repeated task builds the same pages."""
     n_pages = max(1, table(spark, sf_dir, "lineitem").count() // PAGE_ORDERS)
-    page = F.pmod(F.xxhash64(*LINE_COLUMNS), F.lit(n_pages))
-    orders = json_orders(spark, sf_dir, fields, shape).select(page.alias("page"), "order_json")
+    return lines.withColumn("page", F.pmod(F.xxhash64(*LINE_COLUMNS), F.lit(n_pages)))
+
+
+def source_lines(spark: SparkSession, sf_dir: str) -> Bucketed:
+    """The joined lines that all three sources are made of, as a table bucketed by page: they are joined
+    once, and neither API's pages shuffle them again."""
+    lines = paged(spark, sf_dir, line_items(spark, sf_dir, tables_of(EXPORT_FIELDS + API1_FIELDS + API2_FIELDS), part_first=True))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return write_buckets(lines.select("page", *SOURCE_COLUMNS), "page", buckets, "source_lines")
+
+
+def json_pages(
+    spark: SparkSession, sf_dir: str, fields: list[str], shape: str, list_name: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """(page, payload): pages of about 100 orders, one nested JSON order per line item. ``lines`` are those of
+    ``source_lines``; else the tables are joined, and lines are moved to their page before they
+    become JSON, which is wider."""
+    if lines is None:
+        lines = paged(spark, sf_dir, line_items(spark, sf_dir, tables_of(fields), part_first=True)).repartition("page")
+    named = lines.select("page", *LINE_COLUMNS, *[F.expr(FIELDS[f][0]).alias(f) for f in fields])
+    orders = named.select("page", F.to_json(F.expr(shape)).alias("order_json"))
     listed = F.array_join(F.collect_list("order_json"), ",")
     payload = F.concat(F.lit(f'{{"data":{{"data":{{"{list_name}":['), listed, F.lit("]}}}"))
     return orders.groupBy("page").agg(payload.alias("payload"))
 
 
-def api1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_pages(spark, sf_dir, API1_FIELDS, API1_JSON, "orders")
+def api1_pages(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return json_pages(spark, sf_dir, API1_FIELDS, API1_JSON, "orders", lines)
 
 
-def api2_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_pages(spark, sf_dir, API2_FIELDS, API2_JSON, "list")
+def api2_pages(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return json_pages(spark, sf_dir, API2_FIELDS, API2_JSON, "list", lines)

@@ -19,7 +19,7 @@ from parcelmart.plans.oracle_sql import (
     SHIP_CTE,
 )
 from parcelmart.plans.registry import query
-from parcelmart.plans.shipments import api1_pages, api2_pages, shipments, table
+from parcelmart.plans.shipments import api1_pages, api2_pages, shipments, source_lines, table
 from parcelmart.schemas import (
     EXPORT_FIELDS,
     EXPORT_HEADERS,
@@ -366,8 +366,8 @@ def export_classify(spark, sf_dir):
 # ---------------------------------------------------------------- normalised orders
 
 
-def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.export_normalize(shipments(spark, sf_dir))
+def normalized(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return normalize.export_normalize(shipments(spark, sf_dir, lines=lines))
 
 
 @query(
@@ -412,13 +412,17 @@ UNION ALL SELECT source_system, order_id, CAST(return_flag AS INTEGER), return_r
 UNION ALL SELECT source_system, order_id, CAST(return_flag AS INTEGER), return_reason, '', '', '' FROM api2_norm"""
 )
 def source_union(spark, sf_dir):
-    api1 = payloads.payload_explode(api1_pages(spark, sf_dir), payloads.API1_ORDER)
-    api2 = payloads.payload_explode(api2_pages(spark, sf_dir), payloads.API2_ORDER)
+    """The three sources, made of lines that are joined once."""
+    bucketed = source_lines(spark, sf_dir)
+    lines = bucketed.rows
+    api1 = payloads.payload_explode(api1_pages(spark, sf_dir, lines), payloads.API1_ORDER)
+    api2 = payloads.payload_explode(api2_pages(spark, sf_dir, lines), payloads.API2_ORDER)
     union = normalize.source_union(
-        normalized(spark, sf_dir),
+        normalized(spark, sf_dir, lines),
         normalize.api1_normalize(api1),
         normalize.api2_normalize(api2),
     )
+    bucketed.forget()
     return union.select(*UNION_COLUMNS.split(", "))
 
 
