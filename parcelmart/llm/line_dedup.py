@@ -4,13 +4,13 @@ A line's tokens are its word shingles: runs of five words, which are runs of cha
 0x20 and 0x09-0x0D, lower-cased; a line with fewer words is one token. Lines with equal token sets
 form a class, which takes part once, with its first line.
 
-The tokens of a line are ordered rare before common, and by hash among equals; lines that are similar
+The tokens of a class are ordered rare before common, and by hash among equals; classes that are similar
 enough share a token within a prefix of any such order. Rarity is how often a token stands in the
-prefixes by hash, counted over all lines, which is what its list of candidates would be: the tokens
+prefixes by hash, counted over all classes, which is what its list of candidates would be: the tokens
 above a share of all postings are common, by the binary logarithm of their count, and the prefixes that hold one
 are taken anew. Pairs that meet are dropped by the length filter, the positional filter and by the parities of how many tokens
-fall into each of 256 parts (where they differ, a token is not shared); the rest is verified on the whole
-sets.
+fall into each of 256 parts (where they differ, a token is not shared). The whole sets of the classes that are left
+are made from the texts once more, and the pairs verified on them.
 A line goes when an earlier line is similar.
 
 Tokens are 64-bit hashes. The order is by id, then line number; everything is a built-in expression.
@@ -61,40 +61,29 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("version"), body.alias("text"))
 
 
-def _pairs(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
-
-
 def _contents(documents: DataFrame) -> DataFrame:
+    """The lines that hold a word."""
     lines = documents.select("doc_id", "version", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    return lines.withColumn("content", F.trim("content")).filter(F.length("content") > 0)
+    return lines.filter(F.col("content").rlike(WORDED)).withColumn("content", F.trim("content"))
+
+
+def _tokens(words: Column, shingle: int) -> Column:
+    """The hash of each run of ``shingle`` words; fewer words are one run, as hashes skip what is null."""
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(1)))
+    return F.transform(starts, lambda w, k: F.xxhash64(w, *(F.get(words, k + j) for j in range(1, shingle))))
 
 
 def _token_sets(contents: DataFrame, shingle: int) -> DataFrame:
-    """``contents`` with the sorted token hashes of each line in place of its content; lines without
-    words are left out. The hash of a shingle is made of those of its halves."""
+    """``contents`` with the sorted token hashes of each line in place of its content."""
     content = F.col("content")
     odd = F.lit(False)
     for blank in OTHER_BLANKS:
         odd = odd | F.contains(content, F.lit(blank))
     parts = F.filter(F.split(F.lower(content), BLANKS), lambda w: w != "")
     words = F.when(odd, parts).otherwise(F.split(F.lower(content), " "))  # most lines have single spaces only
-    rows = contents.select("doc_id", "version", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("w1")).filter(F.size("w1") > 0)
-    every = F.lit(1 << 30)
-    made, have = F.col("w1"), 1
-    while have < shingle:
-        more = min(have, shingle - have)
-        if more == have:
-            made = _pairs(made, F.slice(made, F.lit(have + 1), every))
-        else:
-            tail = F.col("w1") if more == 1 else F.col(f"w{more}")
-            made = _pairs(made, F.slice(tail, F.lit(have + 1), every))
-        have += more
-        rows = rows.withColumn(f"w{have}", made)
-        made = F.col(f"w{have}")
-    # pairs with nothing after the last word: a line of fewer words than a shingle has one of all its words
-    tokens = F.slice(made, F.lit(1), F.greatest(F.size("w1") - (shingle - 1), F.lit(1)))
-    return rows.select("doc_id", "version", "line", F.sort_array(F.array_distinct(tokens)).alias("keys"))
+    # an array of one array, so that the words are made once and every run takes them from there
+    tokens = F.element_at(F.transform(F.array(words), lambda w: _tokens(w, shingle)), 1)
+    return contents.select("doc_id", "version", "line", F.sort_array(F.array_distinct(tokens)).alias("keys"))
 
 
 def _cells(rows: DataFrame, cell: Column, value: Column, bits: int) -> DataFrame:
@@ -134,11 +123,21 @@ def _similar(percent: int, overlap: Column, n_a: Column, n_b: Column) -> Column:
 PARITY = ["p0", "p1", "p2", "p3"]
 
 
-def _parity(keys: Column, word: int) -> Column:
-    """Bit k: whether an odd number of keys falls into part 64 * word + k of 256."""
-    own = F.filter(keys, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(3)) == word)
+def _with_parities(rows: DataFrame) -> DataFrame:
+    """``rows`` with, in PARITY, bit k of word j: whether an odd number of the sorted ``keys`` falls into part
+    64 * j + k of 256; a word has a quarter of the range of hashes."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(bit(x)))
+    parity = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(bit(x)))
+    bounds = [F.lit(b).cast("long") for b in (-(1 << 62), 0, 1 << 62)]
+    # the place that a bound would have among the keys is where its quarter begins
+    begins = [F.array_position(F.sort_array(F.array_append("keys", b)), b).cast("int") for b in bounds]
+    rows = rows.select("*", *(b.alias(f"begin{k}") for k, b in enumerate(begins, 1)))
+    begins = [F.lit(1), *(F.col(f"begin{k}") for k in (1, 2, 3)), F.size("keys") + 1]
+    parts = [F.slice("keys", begins[k], begins[k + 1] - begins[k]).alias(f"part{k}") for k in range(4)]
+    rows = rows.select("*", *parts)
+    # read twice, a part stays a column of its own, which Spark makes in compiled code
+    words = [F.when(F.size(f"part{k}") > 0, parity(F.col(f"part{k}"))).otherwise(0).alias(p) for k, p in enumerate(PARITY)]
+    return rows.select("*", *words).drop(*(f"begin{k}" for k in (1, 2, 3)), *(f"part{k}" for k in range(4)))
 
 
 def _close(percent: int, a: str, b: str) -> Column:
@@ -184,71 +183,65 @@ class _Lines:
         self.documents = _documents(docs, doc_id, text)
         keys = F.col("keys")
         self.lines = written(
-            _token_sets(_contents(self.documents), shingle).select(
+            _with_parities(_token_sets(_contents(self.documents), shingle)).select(
                 *PLACE,
                 F.xxhash64("keys").alias("cls"),
                 F.size("keys").alias("n"),
                 _prefix(keys, percent).alias("prefix"),
+                *PARITY,
             ),
             "lines",
         )
         place = F.struct("doc_id", "line", "version")
-        self.classes = written(self.lines.groupBy("cls").agg(F.min(place).alias("at"), F.max(place).alias("last")), "line-classes")
-
-    def _postings(self, lines: DataFrame) -> DataFrame:
-        return lines.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+        same = [F.any_value(c).alias(c) for c in ("n", "prefix", *PARITY)]
+        self.classes = written(self.lines.groupBy("cls").agg(F.min(place).alias("at"), F.max(place).alias("last"), *same), "line-classes")
 
-    def _sets(self, lines: DataFrame, name: str) -> DataFrame:
-        """(place columns, cls, keys) of ``lines`` (place columns), read from the texts; perhaps of a few
-        other lines as well, which the tables of bits cannot tell from them."""
+    def _sets(self, classes: DataFrame, name: str) -> DataFrame:
+        """(cls, keys) of ``classes`` (cls, at), read from the texts of their first lines."""
+        lines = classes.select("at.doc_id", "at.version", "at.line")
         here = F.xxhash64("doc_id", "version", "line")
         marks = _marks(lines.select(here.alias("h")), FILTER_BITS, f"{name}-lines")
         texts = _marks(lines.select(F.col("version").alias("h")), FILTER_BITS, f"{name}-texts")
         documents = self.documents.filter(_marked(F.col("version"), texts, FILTER_BITS))
         sets = _token_sets(_contents(documents).filter(_marked(here, marks, FILTER_BITS)), self.shingle)
-        return sets.withColumn("cls", F.xxhash64("keys"))
+        # the tables of bits let a few other lines pass, and rows may repeat a line
+        return sets.select(F.xxhash64("keys").alias("cls"), "keys").join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
     def shared(self) -> DataFrame:
-        """(token, cls, n, pos, at) of the prefix tokens that two classes share; ``at`` is the place of the
-        class's first line. Tokens of one class only go by a table of bits before they are shuffled."""
-        lines = self.lines
-        counted = self._postings(lines).groupBy("token").agg(F.count("*").alias("count"), F.min("cls").alias("low"), F.max("cls").alias("high"))
-        often = written(counted.filter("low <> high").select("token", "count"), "line-tokens")
-        total = lines.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        """(token, cls, n, pos, at, parities) of the prefix tokens that two classes share; ``at`` is the
+        place of the class's first line. Tokens of one class only go by a table of bits before they are shuffled."""
+        tokens = self.classes.select(F.explode("prefix").alias("token"))
+        often = written(tokens.groupBy("token").count().filter("count > 1"), "line-tokens")
+        total = self.classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
         least = max(LEAST_COMMON, total / COMMON_SHARE)
         common = often.filter(F.col("count") > least)
         cell = F.shiftrightunsigned("token", 64 - CELL_BITS).alias("cell")
         level = F.floor(F.log2(F.max("count") / F.lit(float(least)))).cast("int").alias("level")
         marked = {row["cell"]: row["level"] for row in common.groupBy(cell).agg(level).collect()}  # fewer than COMMON_SHARE
         hashes = often.select(F.xxhash64("token").alias("h"))
+        classes = self.classes.drop("last")
         if marked:
             table = bytes(LEVELS[min(marked[k], len(LEVELS) - 1)] if k in marked else RARE[0] for k in range(1 << CELL_BITS))
             changed = F.exists("prefix", lambda k: _mark(k, table) != F.lit(RARE))
-            again = written(lines.filter(changed).select(*PLACE, "cls"), "line-again")
-            anew = written(
-                self._sets(again, "line-again").join(again.select("cls").distinct(), "cls", "left_semi").select(
-                    *PLACE, "cls", F.size("keys").alias("n"), _prefix(_common_last(F.col("keys"), table), self.percent).alias("prefix")
-                ),
-                "line-anew",
-            )
-            lines = lines.filter(~changed).unionByName(anew)
-            hashes = hashes.union(self._postings(anew).select(F.xxhash64("token")))
-        postings = self._postings(lines)
+            again = written(classes.filter(changed).drop("prefix"), "line-again")
+            prefix = _prefix(_common_last(F.col("keys"), table), self.percent).alias("prefix")
+            anew = written(again.join(self._sets(again, "line-again").select("cls", prefix), "cls"), "line-anew")
+            classes = classes.filter(~changed).unionByName(anew)
+            hashes = hashes.union(anew.select(F.explode("prefix").alias("token")).select(F.xxhash64("token")))
         marks = _marks(hashes, TOKEN_BITS, "line-shared")
-        met = written(
-            postings.filter(_marked(F.xxhash64("token"), marks, TOKEN_BITS))
-            .groupBy("token", "cls")
-            .agg(F.min("n").alias("n"), F.min("pos").alias("pos")),
-            "line-met",
-        )
+        postings = classes.select("cls", F.posexplode("prefix").alias("pos", "token"))
+        met = written(postings.filter(_marked(F.xxhash64("token"), marks, TOKEN_BITS)), "line-met")
         several = met.groupBy("token").count().filter("count > 1").select("token")
-        return met.join(several, "token").join(self.classes.select("cls", "at"), "cls")
+        return met.join(several, "token").join(classes.drop("prefix"), "cls")
 
-    def _verified(self, met: DataFrame, sets: DataFrame) -> DataFrame:
+    def _verified(self, met: DataFrame, name: str) -> DataFrame:
         """Of pairs (x, y: postings) the classes x that are similar to their y."""
-        pairs = written(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "line-pairs")
-        side = lambda name: sets.select(F.col("cls").alias(name), F.col("keys").alias(f"keys_{name}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        side = lambda a, b: F.struct(f"{a}.cls", f"{a}.at").alias(b)
+        pairs = written(met.select(side("x", "a"), side("y", "b")).distinct(), "line-pairs")
+        held = pairs.select("a.*").union(pairs.select("b.*")).dropDuplicates(["cls"])
+        sets = written(self._sets(written(held, "line-held"), name), "line-sets")
+        keys = lambda a: sets.select(F.col("cls").alias(a), F.col("keys").alias(f"keys_{a}"))
+        both = pairs.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).join(keys("a"), "a").join(keys("b"), "b")
         similar = both.filter(_similar(self.percent, F.size(F.array_intersect("keys_a", "keys_b")), F.size("keys_a"), F.size("keys_b")))
         return written(similar.select(F.col("a").alias("cls")).distinct(), "line-similar")
 
@@ -259,19 +252,15 @@ class _Lines:
         settles nearly all of a group of near copies in a number of pairs that grows with the
         group; classes not settled so are then held against all earlier ones.
         """
-        met = written(self.shared(), "line-shared")
-        firsts = met.select("at.doc_id", "at.version", "at.line").distinct()
-        found = self._sets(firsts, "line-firsts").select("cls", "keys").dropDuplicates(["cls"])
-        parities = [_parity(F.col("keys"), k).alias(p) for k, p in enumerate(PARITY)]
-        sets = written(found.select("cls", "keys", *parities), "line-sets")
-        shared = written(met.join(sets.drop("keys"), "cls"), "line-sized")
-        earliest = shared.groupBy("token").agg(F.min(F.struct("at", "cls", "n", "pos", *PARITY)).alias("first")).select("token", "first.*")
+        shared = written(self.shared(), "line-shared")
+        first = F.min(F.struct("at", "cls", "n", "pos", *PARITY)).alias("first")
+        earliest = shared.groupBy("token").agg(first).select("token", "first.*")
         same, before = F.col("x.token") == F.col("y.token"), F.struct("y.at", "y.cls") < F.struct("x.at", "x.cls")
         near = _close(self.percent, "x", "y")
-        first = self._verified(shared.alias("x").join(earliest.alias("y"), same & before & near), sets)
-        rest = shared.join(first, "cls", "left_anti")
-        second = self._verified(rest.alias("x").join(shared.alias("y"), same & before & near), sets)
-        return first.union(second)
+        found = self._verified(shared.alias("x").join(earliest.alias("y"), same & before & near), "line-first")
+        rest = shared.join(found, "cls", "left_anti")
+        more = self._verified(rest.alias("x").join(shared.alias("y"), same & before & near), "line-more")
+        return found.union(more)
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -106,3 +106,33 @@ def test_rows_without_an_id_are_documents_of_their_own(spark):
     got = sorted(((r.doc_id, r.text) for r in dedup_lines(frame(spark, rows)).collect()), key=str)
     want = [(None, text), (None, ""), (None, ""), (None, "other words"), (None, None), (None, None), (1, "six"), (1, "six")]
     assert got == sorted(want, key=str)
+
+
+def test_whole_sets_are_made_only_of_lines_that_may_be_similar(spark, monkeypatch):
+    read, sets = [], line_dedup._Lines._sets
+
+    def counted(self, lines, name):
+        read.append(lines.count())
+        return sets(self, lines, name)
+
+    monkeypatch.setattr(line_dedup._Lines, "_sets", counted)
+    half = " ".join(f"both{k}" for k in range(12))
+    rows = [(i, half + "".join(f" own{i}x{k}" for k in range(12))) for i in range(20)]  # one third alike
+    near = [f"near{k}" for k in range(24)]
+    rows += [(30, " ".join(near)), (31, " ".join([*near[:-1], "other"]))]
+    got = {(r.doc_id, r.line) for r in repeated_lines(frame(spark, rows), 60, 1).collect()}
+    assert got == {(31, 0)} == {(row[0], n) for row, n in brute(rows, 60, 1)}
+    assert sum(read) == 2
+
+
+def test_parities_of_all_parts(spark):
+    r = random.Random(7)
+    bounds = [-(1 << 63), -(1 << 62) - 1, -(1 << 62), -1, 0, (1 << 62) - 1, 1 << 62, (1 << 63) - 1]
+    sets = [sorted({r.randrange(-(1 << 63), 1 << 63) for _ in range(n)}) for n in (1, 2, 40, 500)] + [bounds, [0], [-(1 << 62), 1 << 62], [5]]
+    df = spark.createDataFrame([(k, keys) for k, keys in enumerate(sets)], "id int, keys array<long>")
+    got = {x["id"]: [x[p] & (2**64 - 1) for p in line_dedup.PARITY] for x in line_dedup._with_parities(df).collect()}
+    for k, keys in enumerate(sets):
+        want = [0, 0, 0, 0]
+        for key in keys:
+            want[(key + (1 << 63)) >> 62] ^= 1 << (key & 63)
+        assert got[k] == want
