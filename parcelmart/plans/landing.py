@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from parcelmart.functions.dates import quarter_of, whole_week_ranges
 from parcelmart.operators.eligibility import load_window, quarter_filter
+from parcelmart.operators.packing import pack_texts, unpack_texts
 from parcelmart.plans.build import run_quarter
 from parcelmart.plans.loads import Layout, identified
 from parcelmart.session import list_folders, tidy
@@ -29,8 +30,9 @@ def land_orders(orders: DataFrame, layout: Layout, batch: int) -> None:
     """Keep normalised orders (``export_normalize`` or another) by the month of their date. A batch that
     lands again replaces itself; batches are numbered in the order in which they land."""
     rows = orders.withColumn("event_month", _month(F.col("event_date")))
+    moved = unpack_texts(pack_texts(rows).hint("rebalance", "event_month"), rows.schema)
     with tidy(orders.sparkSession):
-        rows.hint("rebalance", "event_month").write.mode("overwrite").partitionBy("event_month").parquet(f"{layout.landed}/batch={batch}")
+        moved.write.mode("overwrite").partitionBy("event_month").parquet(f"{layout.landed}/batch={batch}")
 
 
 def landed_batches(spark: SparkSession, layout: Layout) -> list[int]:
